@@ -1,0 +1,16 @@
+"""Broadcasts of relations whose size is known before the query runs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_below(rows: DataFrame, at_most: int) -> DataFrame:
+    """Hint a broadcast if the relation holds `at_most` narrow rows and that is small.
+
+    Beyond the limit the join is left to Catalyst and AQE, which shuffle it if need be.
+    """
+    return F.broadcast(rows) if at_most <= BROADCAST_ROWS else rows
