@@ -57,6 +57,11 @@ def city_clicks(clicks: DataFrame, late_by: str | None = None) -> DataFrame:
     return _per_day(clicks, ["province", "city", "ad_id"], late_by)
 
 
+def province_day_clicks(clicks: DataFrame, late_by: str | None = None) -> DataFrame:
+    """Clicks per day, province and ad, counted from the clicks themselves."""
+    return _per_day(clicks, ["province", "ad_id"], late_by)
+
+
 def blacklisted_users(counts: DataFrame, threshold: int = 100) -> DataFrame:
     """Users with more clicks on one ad in one day than the threshold."""
     return counts.where(F.col("click_count") > threshold).select("user_id").distinct()
@@ -68,7 +73,7 @@ def without_users(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
 
 
 def province_clicks(per_city: DataFrame) -> DataFrame:
-    """Clicks per day, province and ad."""
+    """Clicks per day, province and ad, summed over cities."""
     return (per_city.groupBy("date", "province", "ad_id")
             .agg(F.sum("click_count").alias("click_count")))
 

@@ -20,8 +20,7 @@ def with_task_id(result: DataFrame, task_id: str) -> DataFrame:
 
 def append_result(result: DataFrame, path: str, task_id: str) -> None:
     """Write a task's result below its task id; running the task again replaces only its rows."""
-    (with_task_id(result, task_id).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("taskid").parquet(path))
+    _overwrite_partitions(with_task_id(result, task_id), path, ["taskid"])
 
 
 def append_jdbc(result: DataFrame, url: str, table: str, task_id: str,
@@ -31,24 +30,42 @@ def append_jdbc(result: DataFrame, url: str, table: str, task_id: str,
      .write.mode("append").jdbc(url, table, properties=properties))
 
 
-def replace_table(result: DataFrame, name: str) -> None:
-    """Drop a catalog table and save the result under its name."""
-    result.write.mode("overwrite").saveAsTable(name)
+def replace_table(result: DataFrame, name: str, path: str | None = None) -> None:
+    """Drop a catalog table and save the result under its name, in the given folder if any."""
+    writer = result.write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
+def create_table(spark: SparkSession, path: str, schema: str,
+                 partition_by: Sequence[str]) -> None:
+    """Make the folder of a partitioned table if it does not exist yet."""
+    (spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by)
+     .parquet(path))
 
 
 def create_batches(spark: SparkSession, path: str, schema: str,
                    partition_by: Sequence[str] = ()) -> None:
     """Make the folder of a per-batch table if it does not exist yet."""
-    (spark.createDataFrame([], f"{schema}, batch_id BIGINT").write.mode("ignore")
-     .partitionBy(*partition_by, "batch_id").parquet(path))
+    create_table(spark, path, f"{schema}, batch_id BIGINT", [*partition_by, "batch_id"])
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int,
                 partition_by: Sequence[str] = ()) -> None:
     """Write the rows of one micro-batch; a replay replaces what it wrote before."""
-    (rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by, "batch_id").parquet(path))
+    _overwrite_partitions(rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")), path,
+                          [*partition_by, "batch_id"])
+
+
+def _overwrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions present in the rows.
+
+    Rebalancing by partition keeps a folder from getting a small file of every task, while AQE
+    still splits a partition that is large.
+    """
+    (rows.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -71,8 +88,7 @@ def summed(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def replace_groups(rows: DataFrame, path: str, groups: Sequence[str]) -> None:
     """Replace whole groups: those present in the rows, no others."""
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*groups).parquet(path))
+    _overwrite_partitions(rows, path, groups)
 
 
 def compact(batches: DataFrame, path: str, keys: Sequence[str], batch_id: int, *,

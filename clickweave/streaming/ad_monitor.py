@@ -3,10 +3,11 @@
 The stream filters on a list it writes itself, which no single streaming plan can say. It is cut
 into queries that meet in tables:
 
-    lines -> filter  -> clean         clicks of users not listed when their batch began
-             clean   -> user_clicks   per day, user and ad; above the threshold -> blacklist
-             clean   -> ad_stat       per day, province, city and ad -> ad_province_top3
-             clean   -> ad_click_trend  per minute and ad
+    lines -> filter  -> clean             clicks of users not listed when their batch began
+             clean   -> user_clicks       per day, user and ad; above the threshold -> blacklist
+             clean   -> ad_stat           per day, province, city and ad
+             clean   -> ad_province_top3  per day, province and ad, the best of them
+             clean   -> ad_click_trend    per minute and ad
 
 Counts live in the state store and are merged on the map side, so a batch costs what it brings, not
 what the day has gathered, and a user with very many clicks is one row per task. A watermark closes
@@ -29,7 +30,8 @@ CLICK_SCHEMA = "ts TIMESTAMP, province STRING, city STRING, user_id BIGINT, ad_i
 USER_CLICK_SCHEMA = "date STRING, user_id BIGINT, ad_id BIGINT, click_count BIGINT"
 BLACKLIST_SCHEMA = "user_id BIGINT"
 STAT_SCHEMA = "date STRING, province STRING, city STRING, ad_id BIGINT, click_count BIGINT"
-TOP_SCHEMA = "date STRING, province STRING, ad_id BIGINT, click_count BIGINT"
+TOP_SCHEMA = """province STRING, ad_id BIGINT, click_count BIGINT, batch_id BIGINT,
+    date STRING, slot INT"""
 TREND_SCHEMA = "date STRING, hour STRING, minute STRING, ad_id BIGINT, click_count BIGINT"
 
 LIVE = {"processingTime": "5 seconds"}
@@ -62,6 +64,7 @@ class AdMonitor:
                 ("ad_stat", STAT_SCHEMA, ("date",)),
                 ("ad_click_trend", TREND_SCHEMA, ("date",))):
             sinks.create_batches(self.spark, self.path(table), schema, partition_by)
+        sinks.create_table(self.spark, self.path("ad_province_top3"), TOP_SCHEMA, ["date", "slot"])
         return self
 
     # Tables as they are now.
@@ -81,7 +84,7 @@ class AdMonitor:
                             ["date", "province", "city", "ad_id"])
 
     def province_top(self) -> DataFrame:
-        return self.spark.read.schema(TOP_SCHEMA).parquet(self.path("ad_province_top3"))
+        return self._newest_top(self._top_rows()).drop("batch_id", "slot")
 
     def click_trend(self) -> DataFrame:
         return sinks.latest(self._rows("ad_click_trend", TREND_SCHEMA),
@@ -107,10 +110,15 @@ class AdMonitor:
         return self._start("user_clicks", counts, self._write_user_clicks, trigger)
 
     def start_ad_stat(self, trigger: dict = LIVE) -> StreamingQuery:
-        """Count clicks per day, province, city and ad, and rank ads per province."""
+        """Count clicks per day, province, city and ad."""
         counts = ads.city_clicks(self._clean_stream(), self.day_late_by)
         return self._start("ad_stat", counts, self._write_ad_stat, trigger)
 
+    def start_province_top(self, trigger: dict = LIVE) -> StreamingQuery:
+        """Count clicks per day, province and ad, and keep the best ads of each province."""
+        counts = ads.province_day_clicks(self._clean_stream(), self.day_late_by)
+        return self._start("province_top", counts, self._write_province_top, trigger)
+
     def start_click_trend(self, trigger: dict = LIVE) -> StreamingQuery:
         """Count clicks per minute and ad."""
         counts = ads.minute_clicks(self._clean_stream(), self.minute_late_by)
@@ -119,7 +127,7 @@ class AdMonitor:
     def start_all(self, lines: DataFrame, trigger: dict = LIVE) -> list[StreamingQuery]:
         return [self.start_filter(lines, trigger), self.start_rejects(lines, trigger),
                 self.start_user_clicks(trigger), self.start_ad_stat(trigger),
-                self.start_click_trend(trigger)]
+                self.start_province_top(trigger), self.start_click_trend(trigger)]
 
     # One micro-batch of each query.
 
@@ -142,13 +150,31 @@ class AdMonitor:
 
     def _write_ad_stat(self, counts: DataFrame, batch_id: int) -> None:
         sinks.write_batch(counts, self.path("ad_stat"), batch_id, ["date"])
-        stat = self._rows("ad_stat", STAT_SCHEMA)
-        groups = ["date", "province"]
-        changed = stat.where(F.col("batch_id") == batch_id).select(*groups).distinct()
-        current = sinks.latest(stat.join(changed, groups, "left_semi"),
-                               ["date", "province", "city", "ad_id"])
-        top = ads.province_top(ads.province_clicks(current), self.top_size)
-        sinks.replace_groups(top, self.path("ad_province_top3"), groups)
+
+    def _write_province_top(self, counts: DataFrame, batch_id: int) -> None:
+        """Merge the ads counted anew into the best ads of their days.
+
+        Counts only grow, so an ad neither among the best nor counted anew cannot enter: the
+        earlier best and the batch are all there is to rank. Each day has two slots, written in
+        turn; the one in force is never touched, and a replayed batch ignores its own first try.
+        """
+        earlier = self._newest_top(self._top_rows().where(F.col("batch_id") < batch_id))
+        slots = earlier.groupBy("date").agg((1 - F.max("slot")).alias("slot"))
+        counted = counts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows = (earlier.drop("slot").join(counted.select("date").distinct(), "date", "left_semi")
+                .unionByName(counted))
+        best = ads.province_top(sinks.latest(rows, ["date", "province", "ad_id"]), self.top_size)
+        slotted = (best.join(slots, "date", "left").fillna(0, ["slot"])
+                   .withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+        sinks.replace_groups(slotted, self.path("ad_province_top3"), ["date", "slot"])
+
+    def _top_rows(self) -> DataFrame:
+        return self.spark.read.schema(TOP_SCHEMA).parquet(self.path("ad_province_top3"))
+
+    @staticmethod
+    def _newest_top(rows: DataFrame) -> DataFrame:
+        newest = rows.groupBy("date").agg(F.max("batch_id").alias("batch_id"))
+        return rows.join(newest, ["date", "batch_id"], "left_semi")
 
     def _write_trend(self, trend: DataFrame, batch_id: int) -> None:
         sinks.write_batch(trend, self.path("ad_click_trend"), batch_id, ["date"])

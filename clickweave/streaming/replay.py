@@ -17,13 +17,15 @@ PART_STARTS = ("2024-01-11", "2024-01-21")
 WHOLE_LOG = "60 days"
 
 
-def replay(spark: SparkSession, sf_dir: str, threshold: int, *,
-           broken_errors: bool = False) -> AdMonitor:
-    """Per part: write its lines, filter them, count users. Each step is a restarted query."""
+def replay(spark: SparkSession, sf_dir: str, threshold: int) -> AdMonitor:
+    """Per part: write its lines, filter them, count users. Each step is a restarted query.
+
+    Lines of `error` events are cut short, so the log holds lines to reject.
+    """
     root = work_folder(spark, "ad-replay")
     monitor = AdMonitor(spark, root, threshold, day_late_by=WHOLE_LOG, minute_late_by=WHOLE_LOG)
     monitor.create_tables()
-    lines = star_schema.ad_lines(spark, sf_dir, broken_errors)
+    lines = star_schema.ad_lines(spark, sf_dir, broken_errors=True)
     first, second = (F.lit(day).cast("date") for day in PART_STARTS)
     day = F.col("logged_on")
     folder = f"{root}/lines"
