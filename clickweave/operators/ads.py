@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.dates import day_key, from_epoch_ms
 from clickweave.functions.text import is_not_empty
+from clickweave.operators.joins import keys_to_match
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -68,8 +69,8 @@ def blacklisted_users(counts: DataFrame, threshold: int = 100) -> DataFrame:
 
 
 def without_users(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Clicks of users not listed. A listed user with very many clicks is AQE's to split."""
-    return clicks.join(blacklist.select("user_id"), "user_id", "left_anti")
+    """Clicks of users not listed."""
+    return clicks.join(keys_to_match(blacklist, "user_id"), "user_id", "left_anti")
 
 
 def province_clicks(per_city: DataFrame) -> DataFrame:
@@ -101,8 +102,12 @@ def minute_trend(per_minute: DataFrame) -> DataFrame:
                              "ad_id", "click_count")
 
 
-def recent_minutes(per_minute: DataFrame, minutes: int = 60) -> DataFrame:
-    """The given number of minutes up to the newest one."""
-    newest = per_minute.agg(F.max("time")).scalar()
-    since = newest - F.make_dt_interval(mins=F.lit(minutes))
-    return per_minute.where(F.col("time") > since)
+def recent_clicks(clicks: DataFrame, minutes: int = 60) -> DataFrame:
+    """Clicks of the given number of minutes up to the newest one.
+
+    The bound is a scalar compared with `ts` itself, so it reaches the scan before any counting.
+    """
+    newest = F.date_trunc("minute", F.max("ts"))
+    since = newest - F.make_dt_interval(mins=F.lit(minutes - 1))
+    bound = clicks.agg(since.cast(clicks.schema["ts"].dataType)).scalar()
+    return clicks.where(F.col("ts") >= bound)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.text import id_list
-from clickweave.operators.bounds import broadcast_below
+from clickweave.operators.joins import broadcast_below
 from clickweave.operators.sessions import clicked_category
 
 KINDS = ("click", "order", "pay")

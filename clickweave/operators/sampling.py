@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.dates import format_time
 from clickweave.functions.text import join_list
-from clickweave.operators.bounds import broadcast_below
+from clickweave.operators.joins import broadcast_below
 from clickweave.operators.sessions import session_aggregate
 
 DETAIL_COLUMNS = (

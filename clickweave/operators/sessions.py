@@ -10,6 +10,7 @@ from clickweave.functions.labels import STEP_BANDS, VISIT_BANDS, in_band
 from clickweave.functions.numbers import share
 from clickweave.functions.text import empty_to_null
 from clickweave.operators.filters import interest_predicate, one_of, user_predicate
+from clickweave.operators.joins import keys_to_match
 from clickweave.params import TaskParams
 from clickweave.sources.tables import NO_CLICK
 
@@ -88,7 +89,7 @@ def matching_sessions(actions: DataFrame, users: DataFrame, params: TaskParams)
 
 def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Actions of the given sessions."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    return actions.join(keys_to_match(sessions, "session_id"), "session_id", "left_semi")
 
 
 def band_counts(sessions: DataFrame) -> DataFrame:

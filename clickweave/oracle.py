@@ -124,7 +124,7 @@ quota AS (
     least(CAST(floor(session_count / CAST(day_count AS DOUBLE) * day_quota) AS BIGINT),
           session_count) AS hour_quota
   FROM hours JOIN day_counts USING (d),
-    (SELECT CAST(840 // count(*) AS BIGINT) AS day_quota FROM day_counts)),
+    (SELECT CAST(840 // nullif(count(*), 0) AS BIGINT) AS day_quota FROM day_counts)),
 ordered AS (
   SELECT *, row_number() OVER (PARTITION BY CAST(started AS DATE), hour(started)
                                ORDER BY md5(concat('0', session_id)), session_id) AS place
@@ -184,7 +184,8 @@ _BAND_COUNTS = "band_counts AS (SELECT count(*) AS session_count, " + ", ".join(
     f"count(*) FILTER ({test}) AS {name}" for name, test in _BANDS) + " FROM matching)"
 # Rounded half up to two places with whole numbers.
 _RATIOS = ", ".join(
-    f"((200 * {name} + session_count) // (2 * session_count)) / 100.0 AS {name}_ratio"
+    f"coalesce((200 * {name} + session_count) // nullif(2 * session_count, 0), 0) / 100.0 "
+    f"AS {name}_ratio"
     for name, _ in _BANDS)
 
 _INFO = ("session_id, user_id, start_time, visit_length, step_length, keywords, categories, "

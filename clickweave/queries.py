@@ -275,7 +275,8 @@ def _sink_append(t: Inputs) -> DataFrame:
     path = t.folder("top10_category")
     for task_id in (*TASKS, TASKS[0]):
         sinks.append_result(t.top_categories, path, task_id)
-    return t.spark.read.parquet(path)
+    schema = sinks.with_task_id(t.top_categories, "").schema
+    return t.spark.read.schema(schema).parquet(path)
 
 
 def _sink_saved_table(t: Inputs) -> DataFrame:
@@ -390,7 +391,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "ad_province_top3": lambda t: ads.province_top(ads.province_clicks(t.city_clicks)),
     "ad_minute_trend": lambda t: ads.minute_trend(ads.minute_clicks(t.ad_clicks)),
     "ad_recent_hour": lambda t: ads.minute_trend(
-        ads.recent_minutes(ads.minute_clicks(t.ad_clicks))),
+        ads.minute_clicks(ads.recent_clicks(t.ad_clicks))),
     # Streams.
     "stream_ad_blacklist": lambda t: t.monitor.blacklist(),
     "stream_ad_user_clicks": lambda t: t.monitor.user_clicks(),
