@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from clickweave.operators import ads
+from tests.tables import CLICK_SCHEMA, tuples
+
+
+@pytest.fixture(scope="module")
+def clicks(spark):
+    rows = [(datetime(2024, 1, 10, 10, 0, 1), "p", "c1", 1, 5),
+            (datetime(2024, 1, 10, 10, 0, 59), "p", "c2", 1, 5),
+            (datetime(2024, 1, 10, 10, 1, 0), "p", "c2", 2, 6),
+            (datetime(2024, 1, 10, 10, 59, 59), "p_q", "c1", 1, 5),
+            (datetime(2024, 1, 10, 11, 0, 0), "p", "c1", 3, 6),
+            (datetime(2024, 1, 11, 0, 0, 0), "p", "c1", 1, 5)]
+    return spark.createDataFrame(rows, CLICK_SCHEMA)
+
+
+def test_lines(spark):
+    lines = ["1704880801000 p c 1 5", "1704880801000 p c one 5", "1704880801000 p c 1", "",
+             "noon p c 1 5", "1704880801000  c 1 5"]
+    rows = spark.createDataFrame([(line,) for line in lines], "value STRING")
+    assert tuples(ads.valid_clicks(rows)) == [(datetime(2024, 1, 10, 10, 0, 1), "p", "c", 1, 5)]
+    assert tuples(ads.rejected_lines(rows)) == sorted((line,) for line in lines[1:])
+
+
+def test_user_counts_and_blacklist(clicks):
+    counts = ads.user_clicks(clicks)
+    assert tuples(counts) == [("20240110", 1, 5, 3), ("20240110", 2, 6, 1),
+                              ("20240110", 3, 6, 1), ("20240111", 1, 5, 1)]
+    # The threshold has to be passed within one day.
+    assert tuples(ads.blacklisted_users(counts, 2)) == [(1,)]
+    assert ads.blacklisted_users(counts, 3).count() == 0
+    kept = ads.without_users(clicks, ads.blacklisted_users(counts, 2))
+    assert tuples(kept, "user_id") == [(2,), (3,)]
+
+
+def test_city_and_province_counts(clicks):
+    per_city = ads.city_clicks(clicks)
+    assert ("20240110", "p", "c2", 5, 1) in tuples(per_city)
+    # A separator inside a name does no harm.
+    assert ("20240110", "p_q", "c1", 5, 1) in tuples(per_city)
+    per_province = ads.province_clicks(per_city)
+    assert tuples(per_province) == tuples(ads.province_day_clicks(clicks)) == [
+        ("20240110", "p", 5, 2), ("20240110", "p", 6, 2), ("20240110", "p_q", 5, 1),
+        ("20240111", "p", 5, 1)]
+    assert tuples(ads.province_top(per_province, 1)) == [
+        ("20240110", "p", 5, 2), ("20240110", "p_q", 5, 1), ("20240111", "p", 5, 1)]
+
+
+def test_minute_trend(clicks):
+    assert tuples(ads.minute_trend(ads.minute_clicks(clicks)))[:2] == [
+        ("20240110", "10", "00", 5, 2), ("20240110", "10", "01", 6, 1)]
+
+
+def test_recent_hour_is_sixty_whole_minutes(clicks):
+    until_eleven = clicks.where("ts < '2024-01-11'")
+    recent = ads.minute_trend(ads.minute_clicks(ads.recent_clicks(until_eleven)))
+    assert tuples(recent, "hour", "minute") == [("10", "01"), ("10", "59"), ("11", "00")]

@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import pytest
+
+from clickweave.operators import categories
+from tests.tables import action, actions, tuples
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    return actions(
+        spark,
+        action(1, "a", click=1), action(2, "a", click=1), action(3, "b", click=2),
+        action(4, "b", orders="2,3"), action(5, "a", pays="4"), action(6, "c", click=5),
+        # Clicks, orders and pays at once.
+        action(7, "b", click=1, orders="3", pays="3,1"),
+        action(8, "a", keyword="k"))
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    return spark.createDataFrame([("a",), ("b",)], "session_id STRING")
+
+
+def test_items(log):
+    assert tuples(categories.action_items(log)) == [
+        ("a", 1, "click"), ("a", 1, "click"), ("a", 4, "pay"), ("b", 1, "click"),
+        ("b", 1, "pay"), ("b", 2, "click"), ("b", 2, "order"), ("b", 3, "order"),
+        ("b", 3, "order"), ("b", 3, "pay"), ("c", 5, "click")]
+    assert tuples(categories.category_domain(categories.action_items(log))) \
+        == [(1,), (2,), (3,), (4,), (5,)]
+
+
+def test_counts_of_the_given_sessions(log, kept):
+    counts = categories.category_session_counts(log, kept)
+    assert tuples(counts, "session_id", "category_id", *categories.COUNTS) == [
+        ("a", 1, 2, 0, 0), ("a", 4, 0, 0, 1), ("b", 1, 1, 0, 1), ("b", 2, 1, 1, 0),
+        ("b", 3, 0, 2, 1)]
+    assert tuples(categories.category_counts(counts)) == [
+        (1, 3, 0, 1), (2, 1, 1, 0), (3, 0, 2, 1), (4, 0, 0, 1)]
+
+
+def test_top_categories_break_ties_by_orders_pays_and_id(spark):
+    rows = [(1, 5, 0, 0), (2, 5, 1, 0), (3, 5, 1, 2), (4, 6, 0, 0), (5, 5, 1, 2),
+            (6, 2**31 + 7, 0, 0)]
+    counts = spark.createDataFrame(rows, ["category_id", *categories.COUNTS])
+    assert [r["category_id"] for r in categories.top_categories(counts, 5).collect()] \
+        == [6, 4, 3, 5, 2]
+
+
+def test_top_sessions(spark):
+    rows = [(c, f"s{i:02d}", i // 2, 1, 1) for c in (1, 2, 3) for i in range(12)]
+    counts = spark.createDataFrame(rows, ["category_id", "session_id", *categories.COUNTS])
+    top = spark.createDataFrame([(1,), (3,)], "category_id BIGINT")
+    best = categories.top_sessions(counts, top, size=3)
+    # Sessions without a click never show, ties go by id.
+    assert tuples(best) == [(c, s, n) for c in (1, 3)
+                            for s, n in (("s08", 4), ("s10", 5), ("s11", 5))]
+    assert categories.top_sessions(counts, top, size=100).count() == 20
