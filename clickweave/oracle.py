@@ -115,6 +115,11 @@ _AREA_LEVEL = """CASE WHEN area IN ('华北', '华东') THEN 'A_Level'
   WHEN area IN ('华中', '华南') THEN 'B_Level'
   WHEN area IN ('西南', '西北') THEN 'C_Level' ELSE 'D_Level' END"""
 
+_REGIONAL_TOP3 = f"""SELECT area, {_AREA_LEVEL} AS area_level, pid, city_infos, click_count,
+  product_name, product_status FROM (SELECT *, row_number() OVER (
+    PARTITION BY area ORDER BY click_count DESC, pid) AS place FROM area_products)
+WHERE place <= 3"""
+
 _SAMPLE = """
 hours AS (SELECT CAST(started AS DATE) AS d, CAST(hour(started) AS INTEGER) AS hour,
             count(*) AS session_count FROM matching GROUP BY ALL),
@@ -282,10 +287,8 @@ def oracle_sql() -> dict[str, str]:
             FROM actions JOIN cities USING (city_id) WHERE click_product_id <> -1"""),
         "area_product_clicks": _areas("SELECT * FROM area_clicks"),
         "area_product_info": _areas("SELECT * FROM area_products"),
-        "regional_top3": _areas(f"""SELECT area, {_AREA_LEVEL} AS area_level, pid, city_infos,
-            click_count, product_name, product_status FROM (SELECT *, row_number() OVER (
-              PARTITION BY area ORDER BY click_count DESC, pid) AS place FROM area_products)
-            WHERE place <= 3"""),
+        "regional_top3": _areas(_REGIONAL_TOP3),
+        "regional_top3_sql": _areas(_REGIONAL_TOP3),
         "session_aggregate": _matching("""SELECT session_id, user_id,
             strftime(started, '%Y-%m-%d %H:%M:%S') AS start_time, visit_length, step_length,
             array_to_string(kws, ',') AS keywords, array_to_string(cats, ',') AS categories

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clickweave.functions import dates, labels, numbers, text
 from clickweave.operators import ads, categories, funnel, regions, sampling, sessions
 from clickweave.params import TaskParams
+from clickweave.plans.region_sql import region_views
 from clickweave.session import work_folder
 from clickweave.sources import sinks, star_schema, tables
 from clickweave.sources.streams import text_lines
@@ -344,6 +345,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "area_product_clicks": lambda t: t.area_clicks,
     "area_product_info": lambda t: t.area_products,
     "regional_top3": lambda t: regions.top_products(t.area_products),
+    "regional_top3_sql": lambda t: region_views(t.product_clicks, t.products, t.cities),
     # Sessions.
     "session_aggregate": lambda t: _with_text_lists(sessions.session_aggregate(t.actions)),
     "session_full_info": lambda t: _with_text_lists(t.full_info),

@@ -15,8 +15,12 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Noting the Python line of every column takes longer than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Closed groups can wait for the next data to be dropped; an empty batch would write nothing.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
 

@@ -6,10 +6,18 @@ user-day is a session; action times are respread inside one hour so that all len
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.sources.tables import NO_CLICK
+# Stated so that opening a table reads no file footers.
+SCHEMAS = {
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,
+        value DOUBLE, props STRING""",
+    "customer": """c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,
+        c_mktsegment STRING""",
+    "part": """p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,
+        p_retailprice DOUBLE""",
+}
 
 # Spread in seconds of a session's actions, chosen by user.
 SPREADS = (4, 10, 31, 61, 181, 601, 1801, 3540)
@@ -19,11 +27,11 @@ USER_OFFSET = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _events(spark: SparkSession, sf_dir: str, start_date: str | None,
-            end_date: str | None) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, start_date: str | None = None,
+            end_date: str | None = None) -> DataFrame:
     """Events of the given days; the bounds are on `ts` itself so that they reach the scan."""
     events = table(spark, sf_dir, "events")
     if start_date is not None:
@@ -31,78 +39,59 @@ def _events(spark: SparkSession, sf_dir: str, start_date: str | None,
     if end_date is not None:
         after = F.date_add(F.lit(end_date).cast("date"), 1).cast("timestamp_ntz")
         events = events.where(F.col("ts") < after)
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
-
-
-def _only(kind: str, value: Column, otherwise: Column | None = None) -> Column:
-    """The value on events of one kind, null or the given value on others."""
-    chosen = F.when(F.col("event_type") == kind, value)
-    return chosen if otherwise is None else chosen.otherwise(otherwise)
+    return events.selectExpr("*", "CAST(ts AS DATE) AS day",
+                             "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str, start_date: str | None = None,
                       end_date: str | None = None) -> DataFrame:
     """Views become searches, purchases orders, sign-ups payments; errors only page visits."""
-    event_id, user_id, k = F.col("event_id"), F.col("user_id"), F.col("k")
-    day = F.col("ts").cast("date")
-    spread = F.element_at(F.array(*[F.lit(s).cast("bigint") for s in SPREADS]),
-                          (user_id % len(SPREADS) + 1).cast("int"))
-    second = (user_id % 24) * 3600 + (event_id * 37 + k) % spread
-    product = event_id * 7 % 100
-    categories = F.when(event_id % 2 == 0, F.concat_ws(",", k, (k * 3 + 1) % 100)) \
-        .otherwise(k.cast("string"))
-    none = F.lit(NO_CLICK).cast("bigint")
-    return _events(spark, sf_dir, start_date, end_date).select(
+    spread = f"array({', '.join(f'{s}L' for s in SPREADS)})" \
+        f"[CAST(user_id % {len(SPREADS)} AS INT)]"
+    return _events(spark, sf_dir, start_date, end_date).selectExpr(
         "event_id",
-        day.cast("string").alias("date"),
+        "CAST(day AS STRING) AS date",
         "user_id",
-        F.concat_ws("_", user_id, day).alias("session_id"),
-        (k % 10).alias("page_id"),
-        F.timestamp_add("SECOND", second.cast("int"), day.cast("timestamp_ntz"))
-        .alias("action_time"),
-        _only("view", F.concat(F.lit("kw"), k % 10)).alias("search_keyword"),
-        _only("click", k, none).alias("click_category_id"),
-        _only("click", product, none).alias("click_product_id"),
-        _only("purchase", categories).alias("order_category_ids"),
-        _only("purchase", product.cast("string")).alias("order_product_ids"),
-        _only("signup", k.cast("string")).alias("pay_category_ids"),
-        _only("signup", product.cast("string")).alias("pay_product_ids"),
-        (event_id % 10).alias("city_id"),
-    )
+        "concat_ws('_', user_id, day) AS session_id",
+        "k % 10 AS page_id",
+        f"""timestampadd(SECOND, CAST((user_id % 24) * 3600 + (event_id * 37 + k) % {spread}
+            AS INT), CAST(day AS TIMESTAMP_NTZ)) AS action_time""",
+        "CASE WHEN event_type = 'view' THEN concat('kw', k % 10) END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN k ELSE -1L END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN event_id * 7 % 100 ELSE -1L END AS click_product_id",
+        """CASE WHEN event_type = 'purchase' THEN
+             CASE WHEN event_id % 2 = 0 THEN concat_ws(',', k, (k * 3 + 1) % 100)
+               ELSE CAST(k AS STRING) END END AS order_category_ids""",
+        "CASE WHEN event_type = 'purchase' THEN CAST(event_id * 7 % 100 AS STRING) END"
+        " AS order_product_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(k AS STRING) END AS pay_category_ids",
+        "CASE WHEN event_type = 'signup' THEN CAST(event_id * 7 % 100 AS STRING) END"
+        " AS pay_product_ids",
+        "event_id % 10 AS city_id")
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        (key + USER_OFFSET).alias("user_id"),
-        F.concat(F.lit("user"), key).alias("username"),
-        F.col("c_name").alias("name"),
-        (key % 60).cast("int").alias("age"),
-        F.concat(F.lit("professional"), key * 7 % 100).alias("professional"),
-        F.concat(F.lit("city"), F.col("c_nationkey")).alias("city"),
-        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"),
-    )
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"c_custkey + {USER_OFFSET} AS user_id",
+        "concat('user', c_custkey) AS username",
+        "c_name AS name",
+        "CAST(c_custkey % 60 AS INT) AS age",
+        "concat('professional', c_custkey * 7 % 100) AS professional",
+        "concat('city', c_nationkey) AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex")
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), F.col("p_size") % 2, F.lit("}"))
-        .alias("extend_info"),
-    )
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS product_id", "p_name AS product_name",
+        """concat('{"product_status": ', p_size % 2, '}') AS extend_info""")
 
 
 def _ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as an ad click: ten provinces of two cities, twenty ads."""
-    user_id = F.col("user_id")
-    return _events(spark, sf_dir, None, None).select(
-        "event_id", "ts", "event_type",
-        (user_id % 10).cast("string").alias("province"),
-        (user_id % 20).cast("string").alias("city"),
-        "user_id",
-        (F.col("k") % 20).alias("ad_id"),
-    )
+    return _events(spark, sf_dir).selectExpr(
+        "event_id", "ts", "event_type", "CAST(user_id % 10 AS STRING) AS province",
+        "CAST(user_id % 20 AS STRING) AS city", "user_id", "k % 20 AS ad_id")
 
 
 def ad_click(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,12 +100,9 @@ def ad_click(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ad_lines(spark: SparkSession, sf_dir: str, broken_errors: bool = False) -> DataFrame:
     """The clicks as log lines, with day and id beside them; `broken_errors` cuts errors short."""
-    ad = F.col("ad_id").cast("string")
-    if broken_errors:
-        ad = F.when(F.col("event_type") != "error", ad)
+    ad = "CASE WHEN event_type <> 'error' THEN ad_id END" if broken_errors else "ad_id"
     # The wall-clock time is read as UTC whatever the session's zone is.
-    since = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
-                             F.col("ts"))
-    line = F.concat_ws(" ", since, "province", "city", "user_id", ad)
-    return _ad_events(spark, sf_dir).select(
-        "event_id", F.col("ts").cast("date").alias("logged_on"), line.alias("value"))
+    since = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+    return _ad_events(spark, sf_dir).selectExpr(
+        "event_id", "CAST(ts AS DATE) AS logged_on",
+        f"concat_ws(' ', {since}, province, city, user_id, {ad}) AS value")
