@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.functions.text import id_list
-from clickweave.operators.joins import broadcast_below
+from clickweave.operators.joins import broadcast_below, keys_to_match
 from clickweave.operators.sessions import clicked_category
 
 KINDS = ("click", "order", "pay")
@@ -14,34 +13,39 @@ COUNTS = tuple(f"{kind}_count" for kind in KINDS)
 
 
 def action_items(actions: DataFrame) -> DataFrame:
-    """One row per category an action clicked, ordered or paid for."""
-    lists = (F.array_compact(F.array(clicked_category())),
-             id_list(F.col("order_category_ids")), id_list(F.col("pay_category_ids")))
-    no_ids = F.array().cast("array<bigint>")
-    tagged = [F.transform(F.coalesce(ids, no_ids), _tag(kind))
-              for ids, kind in zip(lists, KINDS)]
-    return actions.select("session_id", F.inline(F.concat(*tagged)))
+    """One row per category an action clicked, ordered or paid for.
+
+    `stack` and `explode` stay in generated code, which higher-order functions on arrays leave.
+    """
+    lists = (clicked_category().cast("string"), F.col("order_category_ids"),
+             F.col("pay_category_ids"))
+    pairs = [part for kind, ids in zip(KINDS, lists) for part in (F.lit(kind), ids)]
+    return (actions
+            .select("session_id", F.stack(F.lit(len(KINDS)), *pairs).alias("kind", "ids"))
+            .where("ids IS NOT NULL")
+            .select("session_id", "kind", F.explode(F.split("ids", ",")).alias("id"))
+            .select("session_id", F.trim("id").try_cast("bigint").alias("category_id"), "kind")
+            .where("category_id IS NOT NULL"))
 
 
-def _tag(kind: str):
-    return lambda category: F.struct(category.alias("category_id"), F.lit(kind).alias("kind"))
+def category_counts(items: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Clicks, orders and payments of every category touched in the given sessions."""
+    kept = items.join(keys_to_match(sessions, "session_id"), "session_id", "left_semi")
+    return kept.groupBy("category_id").agg(*_counts())
 
 
-def category_session_counts(actions: DataFrame, sessions: DataFrame) -> DataFrame:
+def category_session_counts(items: DataFrame, sessions: DataFrame) -> DataFrame:
     """Clicks, orders and payments per category and session, for the given sessions.
 
     Counts are made before the join with the sessions, so what is shuffled and joined is one row
     per (session, category) however many actions a session has.
     """
-    counts = (action_items(actions).groupBy("session_id", "category_id")
-              .agg(*[F.count_if(F.col("kind") == kind).alias(name)
-                     for kind, name in zip(KINDS, COUNTS)]))
+    counts = items.groupBy("session_id", "category_id").agg(*_counts())
     return counts.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
-def category_counts(session_counts: DataFrame) -> DataFrame:
-    """Clicks, orders and payments of every category touched at all."""
-    return session_counts.groupBy("category_id").agg(*[F.sum(c).alias(c) for c in COUNTS])
+def _counts() -> list[Column]:
+    return [F.count_if(F.col("kind") == kind).alias(name) for kind, name in zip(KINDS, COUNTS)]
 
 
 def category_domain(items: DataFrame) -> DataFrame:
@@ -55,16 +59,17 @@ def top_categories(counts: DataFrame, size: int = 10) -> DataFrame:
     return counts.orderBy(*order).limit(size)
 
 
-def top_sessions(session_counts: DataFrame, top: DataFrame, categories: int = 10,
+def top_sessions(items: DataFrame, sessions: DataFrame, top: DataFrame, categories: int = 10,
                  size: int = 10) -> DataFrame:
-    """Per top category the sessions that clicked it most, ties by session id.
+    """Per top category the given sessions that clicked it most, ties by session id.
 
-    `top` holds at most `categories` rows, which bounds its broadcast.
+    `top` holds at most `categories` rows, which bounds its broadcast: all but the clicks on them
+    are gone before the first shuffle.
     """
     wanted = broadcast_below(top.select("category_id"), categories)
+    clicks = items.where("kind = 'click'").join(wanted, "category_id", "left_semi")
+    counts = category_session_counts(clicks, sessions)
     order = Window.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
-    return (session_counts.where("click_count > 0")
-            .join(wanted, "category_id", "left_semi")
-            .withColumn("position", F.row_number().over(order))
+    return (counts.withColumn("position", F.row_number().over(order))
             .where(F.col("position") <= size)
             .select("category_id", "session_id", "click_count"))

@@ -17,8 +17,8 @@ def session_job(actions: DataFrame, users: DataFrame, params: TaskParams, write:
                 sample_size: int = 100, seed: str = "0") -> None:
     """Ratios, sample, popular categories and their active sessions.
 
-    The sessions, the counts per session and category and the sample each serve several results
-    and are much smaller than the log, so they are kept; a lost executor's part is recomputed.
+    The sessions, the sample and the top categories each serve several results and are much smaller
+    than the log, so they are kept; what a lost executor held is computed again.
     """
     actions = actions_in_range(actions, params.start_date, params.end_date)
     kept: list[DataFrame] = []
@@ -35,10 +35,11 @@ def session_job(actions: DataFrame, users: DataFrame, params: TaskParams, write:
         write("session_extract", sampling.sample_report(sample, actions, sample_size))
         write("session_detail", sampling.sample_detail(sample, actions, sample_size))
 
-        counts = keep(categories.category_session_counts(actions, matching))
-        top = keep(categories.top_categories(categories.category_counts(counts), TOP_CATEGORIES))
+        items = categories.action_items(actions)
+        counts = categories.category_counts(items, matching)
+        top = keep(categories.top_categories(counts, TOP_CATEGORIES))
         write("top10_category", top)
-        write("top10_session", categories.top_sessions(counts, top, TOP_CATEGORIES))
+        write("top10_session", categories.top_sessions(items, matching, top, TOP_CATEGORIES))
     finally:
         for rows in kept:
             rows.unpersist()

@@ -85,12 +85,16 @@ class Inputs:
         return sessions.matching_sessions(self.actions, self.users, PARAMS)
 
     @property
-    def session_counts(self) -> DataFrame:
-        return categories.category_session_counts(self.actions, self.matching)
+    def items(self) -> DataFrame:
+        return categories.action_items(self.actions)
+
+    @property
+    def category_counts(self) -> DataFrame:
+        return categories.category_counts(self.items, self.matching)
 
     @property
     def top_categories(self) -> DataFrame:
-        return categories.top_categories(categories.category_counts(self.session_counts))
+        return categories.top_categories(self.category_counts)
 
     @property
     def area_clicks(self) -> DataFrame:
@@ -332,7 +336,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "clicked_products": lambda t: t.product_clicks,
     "user_dimension": lambda t: t.users,
     "product_dimension": lambda t: t.products,
-    "action_items": lambda t: categories.action_items(t.actions),
+    "action_items": lambda t: t.items,
     # Functions.
     "fn_dates": _fn_dates,
     "fn_text": _fn_text,
@@ -365,11 +369,11 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "filtered_actions": lambda t: _with_text_time(
         sessions.filtered_actions(t.actions, t.matching), "action_time"),
     # Categories.
-    "category_domain": lambda t: categories.category_domain(categories.action_items(t.actions)),
-    "category_counts": lambda t: categories.category_counts(t.session_counts),
+    "category_domain": lambda t: categories.category_domain(t.items),
+    "category_counts": lambda t: t.category_counts,
     "top10_categories": lambda t: t.top_categories,
-    "category_session_counts": lambda t: t.session_counts,
-    "top10_sessions": lambda t: categories.top_sessions(t.session_counts, t.top_categories),
+    "category_session_counts": lambda t: categories.category_session_counts(t.items, t.matching),
+    "top10_sessions": lambda t: categories.top_sessions(t.items, t.matching, t.top_categories),
     # Sample.
     "session_hour_counts": lambda t: _with_text_date(sampling.hour_counts(t.matching)),
     "session_hour_quota": lambda t: _with_text_date(sampling.hour_quota(

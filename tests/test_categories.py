@@ -32,14 +32,21 @@ def test_items(log):
 
 
 def test_counts_of_the_given_sessions(log, kept):
-    counts = categories.category_session_counts(log, kept)
-    assert tuples(counts, "session_id", "category_id", *categories.COUNTS) == [
+    items = categories.action_items(log)
+    per_session = categories.category_session_counts(items, kept)
+    assert tuples(per_session, "session_id", "category_id", *categories.COUNTS) == [
         ("a", 1, 2, 0, 0), ("a", 4, 0, 0, 1), ("b", 1, 1, 0, 1), ("b", 2, 1, 1, 0),
         ("b", 3, 0, 2, 1)]
-    assert tuples(categories.category_counts(counts)) == [
+    assert tuples(categories.category_counts(items, kept)) == [
         (1, 3, 0, 1), (2, 1, 1, 0), (3, 0, 2, 1), (4, 0, 0, 1)]
 
 
+def test_items_that_are_no_number_are_left_out(spark):
+    log = actions(spark, action(1, "a", orders="1,x,,2"), action(2, "a", pays=" 3"))
+    assert tuples(categories.action_items(log)) == [
+        ("a", 1, "order"), ("a", 2, "order"), ("a", 3, "pay")]
+
+
 def test_top_categories_break_ties_by_orders_pays_and_id(spark):
     rows = [(1, 5, 0, 0), (2, 5, 1, 0), (3, 5, 1, 2), (4, 6, 0, 0), (5, 5, 1, 2),
             (6, 2**31 + 7, 0, 0)]
@@ -49,11 +56,14 @@ def test_top_categories_break_ties_by_orders_pays_and_id(spark):
 
 
 def test_top_sessions(spark):
-    rows = [(c, f"s{i:02d}", i // 2, 1, 1) for c in (1, 2, 3) for i in range(12)]
-    counts = spark.createDataFrame(rows, ["category_id", "session_id", *categories.COUNTS])
+    clicks = [("s%02d" % i, c, "click") for c in (1, 2, 3) for i in range(12) for _ in range(i // 2)]
+    others = [("s00", 1, "order"), ("s01", 1, "pay"), ("s99", 1, "click")]
+    items = spark.createDataFrame(clicks + others * 9, "session_id STRING, category_id BIGINT, kind STRING")
+    kept = spark.createDataFrame([("s%02d" % i,) for i in range(12)], "session_id STRING")
     top = spark.createDataFrame([(1,), (3,)], "category_id BIGINT")
-    best = categories.top_sessions(counts, top, size=3)
-    # Sessions without a click never show, ties go by id.
+    best = categories.top_sessions(items, kept, top, size=3)
+    # Sessions without a click never show, nor do sessions not given; ties go by id.
     assert tuples(best) == [(c, s, n) for c in (1, 3)
                             for s, n in (("s08", 4), ("s10", 5), ("s11", 5))]
-    assert categories.top_sessions(counts, top, size=100).count() == 20
+    assert categories.top_sessions(items, kept, top, size=100).count() == 20
+    assert tuples(categories.top_sessions(items, kept, top, 10**9, size=3)) == tuples(best)
