@@ -6,37 +6,33 @@ behind the newest day (or minute) a row may be before its group is closed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.dates import day_key, from_epoch_ms
-from clickweave.functions.text import is_not_empty
 from clickweave.operators.joins import keys_to_match
 
+# A log line, its whole numbers within the range of BIGINT.
+LINE_PATTERN = r"^\d{1,15} \S+ \S+ -?\d{1,18} -?\d{1,18}( .*)?$"
 
-def parse_lines(lines: DataFrame) -> DataFrame:
-    """`epoch_ms province city user ad` lines, split and typed; `is_valid` marks whole ones."""
-    part = F.split(F.col("value"), " ")
-    parsed = lines.select(
-        "*",
-        from_epoch_ms(F.get(part, F.lit(0)).try_cast("bigint")).alias("ts"),
-        F.get(part, F.lit(1)).alias("province"),
-        F.get(part, F.lit(2)).alias("city"),
-        F.get(part, F.lit(3)).try_cast("bigint").alias("user_id"),
-        F.get(part, F.lit(4)).try_cast("bigint").alias("ad_id"))
-    typed = [F.col(c).isNotNull() for c in ("ts", "user_id", "ad_id")]
-    texts = [is_not_empty(F.col(c)) for c in ("province", "city")]
-    valid = typed[0] & typed[1] & typed[2] & texts[0] & texts[1]
-    return parsed.withColumn("is_valid", valid)
+
+def _is_click() -> Column:
+    return F.coalesce(F.col("value").rlike(LINE_PATTERN), F.lit(False))
 
 
 def valid_clicks(lines: DataFrame) -> DataFrame:
-    return parse_lines(lines).where("is_valid").drop("is_valid", "value")
+    """`epoch_ms province city user ad` lines, split and typed; fields after these are ignored."""
+    part = F.split(F.col("value"), " ")
+    return lines.where(_is_click()).select(
+        *[c for c in lines.columns if c != "value"],
+        from_epoch_ms(part[0].cast("bigint")).alias("ts"), part[1].alias("province"),
+        part[2].alias("city"), part[3].cast("bigint").alias("user_id"),
+        part[4].cast("bigint").alias("ad_id"))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines that are no click, kept as they came."""
-    return parse_lines(lines).where("NOT is_valid").select(*lines.columns)
+    return lines.where(~_is_click())
 
 
 def _per_day(clicks: DataFrame, keys: list[str], late_by: str | None) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -130,7 +129,10 @@ class Inputs:
 
     @property
     def monitor(self) -> AdMonitor:
-        return _monitor(self.spark.sparkContext.applicationId, self.sf_dir)
+        key = self.spark.sparkContext.applicationId, self.sf_dir
+        if key not in _MONITORS:
+            _MONITORS[key] = replay(self.spark, self.sf_dir, THRESHOLD)
+        return _MONITORS[key]
 
     def folder(self, name: str) -> str:
         return work_folder(self.spark, name)
@@ -243,9 +245,7 @@ def _clicks_clean(t: Inputs) -> DataFrame:
 # Streams. One replay serves all queries of a session over the same tables, as one live monitor
 # would; each query then runs its own streaming query to the end of the log.
 
-@cache
-def _monitor(application_id: str, sf_dir: str) -> AdMonitor:
-    return replay(SparkSession.active(), sf_dir, THRESHOLD)
+_MONITORS: dict[tuple[str, str], AdMonitor] = {}
 
 
 def _stream_clean(t: Inputs) -> DataFrame:

@@ -21,10 +21,13 @@ def clicks(spark):
 
 def test_lines(spark):
     lines = ["1704880801000 p c 1 5", "1704880801000 p c one 5", "1704880801000 p c 1", "",
-             "noon p c 1 5", "1704880801000  c 1 5"]
+             "noon p c 1 5", "1704880801000  c 1 5", "1704880801000 p c 1 " + "9" * 30]
     rows = spark.createDataFrame([(line,) for line in lines], "value STRING")
     assert tuples(ads.valid_clicks(rows)) == [(datetime(2024, 1, 10, 10, 0, 1), "p", "c", 1, 5)]
     assert tuples(ads.rejected_lines(rows)) == sorted((line,) for line in lines[1:])
+    more = spark.createDataFrame([("1704880801000 p c 1 5 more",), (None,)], "value STRING")
+    assert tuples(ads.valid_clicks(more), "ad_id") == [(5,)]
+    assert tuples(ads.rejected_lines(more)) == [(None,)]
 
 
 def test_user_counts_and_blacklist(clicks):

@@ -71,12 +71,14 @@ def test_late_clicks_count_until_their_day_is_closed(spark, root):
     arrive(spark, root, line(1, 5))
     monitor = run(spark, root, "filter", "ad_stat")
     assert tuples(monitor.ad_stat(), "date", "click_count") == [("20240110", 2), ("20240111", 1)]
-    arrive(spark, root, line(1, 5, 2 * day))
-    run(spark, root, "filter", "ad_stat")
+    # The watermark a batch sets holds for late rows from the second batch after it.
+    for _ in range(2):
+        arrive(spark, root, line(1, 5, 2 * day))
+        run(spark, root, "filter", "ad_stat")
     arrive(spark, root, line(1, 5), line(1, 5, day))
     monitor = run(spark, root, "filter", "ad_stat")
     assert tuples(monitor.ad_stat(), "date", "click_count") \
-        == [("20240110", 2), ("20240111", 2), ("20240112", 1)]
+        == [("20240110", 2), ("20240111", 2), ("20240112", 2)]
 
 
 def test_best_ads_grow_batch_by_batch(spark, root):
