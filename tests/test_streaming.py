@@ -24,7 +24,11 @@ def line(user_id, ad_id, minutes=0, province="p", city="c"):
 
 @pytest.fixture
 def root(spark):
-    return work_folder(spark, "monitor")
+    """A folder of its own; one state partition each is enough for a few rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield work_folder(spark, "monitor")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def arrive(spark, root, *lines):
