@@ -45,7 +45,24 @@ DIGIT, SURROUNDINGS = Hashes(101), Hashes(202)
 # What is known of a row before it is dealt.
 PLAIN, COVERED, SHARED, SHARED_ELSEWHERE = 0, 1, 2, 3
 
-_DEALT = "k LONG, c LONG, doc LONG, copy INT, kind INT, at LONG, low LONG, high LONG"
+# Rows whose surroundings are cut out at a time: a few dozen hashes are held for each byte of them.
+ROWS = 1 << 12
+# Bytes of text after which a batch is decided upon.
+BATCH_BYTES = 1 << 23
+
+# `tag`: copy * 4 + kind. `place`: windows and anchor of a row, see _pack; of a covered one the
+# first window, `c` then being the last.
+_DEALT = "k LONG NOT NULL, c LONG NOT NULL, doc LONG NOT NULL, tag INT NOT NULL, place LONG NOT NULL"
+
+
+def _pack(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The first window, how many follow and how far the anchor is: both are less than 2^15."""
+    return low << 30 | (high - low) << 15 | (at - low)
+
+
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low, mask = place >> 30, (1 << 15) - 1
+    return low + (place & mask), low, low + (place >> 15 & mask)
 
 
 def _windows_of_text(data: np.ndarray, starts: np.ndarray, length: int) -> tuple:
@@ -108,21 +125,18 @@ def _decide(k: np.ndarray, c: np.ndarray, doc: np.ndarray, copy: np.ndarray, at:
     k = np.where(kind == SHARED_ELSEWHERE, c, k)
     go, done = kind != COVERED, np.flatnonzero(kind == COVERED)
     done = done[np.lexsort((low[done], copy[done], doc[done]))]
-    parts = [(k[go], c[go], doc[go], copy[go], kind[go], at[go], low[go], high[go])]
+    parts = [(k[go], c[go], doc[go], copy[go] * 4 + kind[go], _pack(at[go], low[go], high[go]))]
     if len(done):
         d, p, lo, hi = doc[done], copy[done], low[done], high[done]
         new = np.concatenate(([True], (d[1:] != d[:-1]) | (p[1:] != p[:-1]) | (lo[1:] > hi[:-1] + 1)))
         first, last = np.flatnonzero(new), np.flatnonzero(np.concatenate((new[1:], [True])))
         d, p, lo = d[first], p[first], lo[first]
         spread = _surroundings(d.astype(U64), lo.astype(U64), p)
-        zero = np.zeros(len(first), np.int64)
-        parts.append((spread, spread, d, p, zero.astype(np.int32) + COVERED, zero, lo, hi[last]))
-    columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-    kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int64)
+        parts.append((spread, hi[last].astype(U64), d, p * 4 + COVERED, lo))
+    k, c, doc, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(x.astype(t, copy=False) if x.dtype != U64 else x.view(np.int64))
-         for x, t in zip(columns, kinds, strict=True)],
-        ["k", "c", "doc", "copy", "kind", "at", "low", "high"])
+        [pa.array(x) for x in (k.view(np.int64), c.view(np.int64), doc, tag.astype(np.int32), place)],
+        ["k", "c", "doc", "tag", "place"])
 
 
 def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -135,9 +149,15 @@ def _first_pass(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             doc, copy = _ids(batch)
             data, starts = utf8(batch.column("row").field("text"))
-            k, c, text, at, low, high = _windows_of_text(data, starts, length)
-            if len(k):
-                yield _decide(k, c, doc[text], copy[text], at, low, high)
+            begin = 0
+            while begin < len(doc):
+                end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + BATCH_BYTES)) - 1)
+                part = starts[begin:end + 1]
+                k, c, text, at, low, high = _windows_of_text(
+                    data[part[0]:part[-1]], part - part[0], length)
+                if len(k):
+                    yield _decide(k, c, doc[begin + text], copy[begin + text], at, low, high)
+                begin = end
     return run
 
 
@@ -160,10 +180,9 @@ def _next_pass(length: int, block: int) -> Callable[[Iterator[pa.RecordBatch]],
             data, starts = utf8(batch.column("row").field("text"))
             count, rows = _flat(batch.column("open"))
             text = np.repeat(np.arange(len(count)), count)
-            for begin in range(0, len(text), CHUNK):
-                part = slice(begin, begin + CHUNK)
-                yield _refine(data, starts, doc, copy, text[part],
-                              *(rows[name][part] for name in ("at", "low", "high")))
+            for begin in range(0, len(text), ROWS):
+                part = slice(begin, begin + ROWS)
+                yield _refine(data, starts, doc, copy, text[part], *_unpack(rows["place"][part]))
 
     def _refine(data, starts, doc, copy, text, at, low, high) -> pa.RecordBatch:
         # One row per block of offsets (anchor less start) that has a window.
@@ -193,26 +212,39 @@ def _next_pass(length: int, block: int) -> Callable[[Iterator[pa.RecordBatch]],
 
 
 def _judged(dealt: DataFrame) -> DataFrame:
-    """Rows of a pass that are covered, or open for the next pass; dealt to their documents.
+    """For each document the rows of a pass that are covered, or open for the next pass.
 
     Of rows equal in digit and surroundings all but the first are covered; the first is open if its
     digit is shared by a row with other surroundings.
     """
-    order = Window.partitionBy("k").orderBy("c", "doc", "copy", "low")
+    order = Window.partitionBy("k").orderBy("c", "doc", "tag", "place")
     group = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kind = F.col("tag") % 4
+    covered = (kind == COVERED) | F.coalesce(F.col("c") == F.col("before"), F.lit(False))
+    # One list for both kinds: both readers of it then share one shuffle.
     return (dealt.withColumns({
         "before": F.lag("c").over(order),
         "shared": (F.first("c").over(group) != F.last("c").over(group))
-        | (F.max("kind").over(group) >= SHARED)})
-        .withColumn("covered", (F.col("kind") == COVERED)
-                    | F.coalesce(F.col("c") == F.col("before"), F.lit(False)))
-        .where("covered OR shared")
-        .select("doc", "copy", "covered", "at", "low", "high").repartition("doc"))
+        | (F.max(kind).over(group) >= SHARED)})
+        .where(covered | F.col("shared"))
+        .groupBy("doc", F.shiftright("tag", 2).alias("copy"))
+        .agg(F.collect_list(F.struct(
+            covered.alias("covered"), "place",
+            F.when(kind == COVERED, F.col("c")).otherwise(
+                F.shiftright("place", 30) + F.shiftright("place", 15) % (1 << 15)).alias("high"),
+            F.when(kind == COVERED, F.col("place")).otherwise(
+                F.shiftright("place", 30)).alias("low"))).alias("rows")))
 
 
 def _open(judged: DataFrame) -> DataFrame:
-    return (judged.where("NOT covered").groupBy("doc", "copy")
-            .agg(F.collect_list(F.struct("at", "low", "high")).alias("open")))
+    rows = F.filter("rows", lambda r: ~r["covered"])
+    return judged.select("doc", "copy", rows.alias("open")).where(F.size("open") > 0)
+
+
+def _covered(judged: DataFrame) -> DataFrame:
+    rows = F.filter("rows", lambda r: r["covered"])
+    return judged.select("doc", "copy", F.transform(
+        rows, lambda r: F.struct(r["low"].alias("low"), r["high"].alias("high"))).alias("spans"))
 
 
 def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,9 +306,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     for block in (min(BLOCK, length), 1):
         asked = texts.join(_open(passes[-1]), ["doc", "copy"])
         passes.append(_judged(asked.mapInArrow(_next_pass(length, block), _DEALT)))
-    covered = [p.where("covered").select("doc", "copy", "low", "high") for p in passes]
-    spans = (covered[0].union(covered[1]).union(covered[2]).repartition("doc")
-             .groupBy("doc", "copy").agg(F.collect_list(F.struct("low", "high")).alias("spans")))
+    covered = [_covered(judged) for judged in passes]
+    spans = (covered[0].union(covered[1]).union(covered[2]).groupBy("doc", "copy")
+             .agg(F.flatten(F.collect_list("spans")).alias("spans")))
     out = T.StructType([T.StructField("row", schema)]
                        + T.StructType.fromDDL("n_bytes LONG, spans ARRAY<STRUCT<start: LONG, "
                                               "end: LONG>>, kept BINARY").fields)
