@@ -227,24 +227,24 @@ def _judged(dealt: DataFrame) -> DataFrame:
         "shared": (F.first("c").over(group) != F.last("c").over(group))
         | (F.max(kind).over(group) >= SHARED)})
         .where(covered | F.col("shared"))
-        .groupBy("doc", F.shiftright("tag", 2).alias("copy"))
+        .groupBy("doc")
         .agg(F.collect_list(F.struct(
-            covered.alias("covered"), "place",
+            covered.alias("covered"), F.shiftright("tag", 2).alias("copy"), "place",
             F.when(kind == COVERED, F.col("c")).otherwise(
                 F.shiftright("place", 30) + F.shiftright("place", 15) % (1 << 15)).alias("high"),
             F.when(kind == COVERED, F.col("place")).otherwise(
                 F.shiftright("place", 30)).alias("low"))).alias("rows")))
 
 
-def _open(judged: DataFrame) -> DataFrame:
-    rows = F.filter("rows", lambda r: ~r["covered"])
-    return judged.select("doc", "copy", rows.alias("open")).where(F.size("open") > 0)
+def _open(texts: DataFrame, judged: DataFrame) -> DataFrame:
+    """The texts with windows to look at again. Joined by `doc` alone, as both are dealt by it."""
+    rows = F.filter("rows", lambda r: ~r["covered"] & (r["copy"] == F.col("copy")))
+    return texts.join(judged, "doc").select("doc", "copy", "row", rows.alias("open")).where(
+        F.size("open") > 0)
 
 
 def _covered(judged: DataFrame) -> DataFrame:
-    rows = F.filter("rows", lambda r: r["covered"])
-    return judged.select("doc", "copy", F.transform(
-        rows, lambda r: F.struct(r["low"].alias("low"), r["high"].alias("high"))).alias("spans"))
+    return judged.select("doc", F.filter("rows", lambda r: r["covered"]).alias("spans"))
 
 
 def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -304,15 +304,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     texts = rows.withColumn("copy", (F.row_number().over(copies) - 1).cast("int"))
     passes = [_judged(texts.mapInArrow(_first_pass(length), _DEALT))]
     for block in (min(BLOCK, length), 1):
-        asked = texts.join(_open(passes[-1]), ["doc", "copy"])
-        passes.append(_judged(asked.mapInArrow(_next_pass(length, block), _DEALT)))
+        asked = _open(texts, passes[-1]).mapInArrow(_next_pass(length, block), _DEALT)
+        passes.append(_judged(asked))
     covered = [_covered(judged) for judged in passes]
-    spans = (covered[0].union(covered[1]).union(covered[2]).groupBy("doc", "copy")
+    spans = (covered[0].union(covered[1]).union(covered[2]).groupBy("doc")
              .agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    own = F.filter("spans", lambda r: r["copy"] == F.col("copy"))
     out = T.StructType([T.StructField("row", schema)]
                        + T.StructType.fromDDL("n_bytes LONG, spans ARRAY<STRUCT<start: LONG, "
                                               "end: LONG>>, kept BINARY").fields)
-    cut = texts.join(spans, ["doc", "copy"], "left").select("row", "spans").mapInArrow(
+    cut = texts.join(spans, "doc", "left").select("row", own.alias("spans")).mapInArrow(
         _cut(length), out)
     return unpack(cut, "n_bytes", "spans", "kept")
 
