@@ -34,9 +34,9 @@ def id_key(column: Column) -> Column:
     return F.coalesce(column.cast("long"), F.lit(NULL_ID))
 
 
-def whole_row(df: DataFrame) -> Column:
-    """All columns as one struct named `row`: names of its fields cannot clash with an operator's."""
-    return F.struct(*[df[f"`{name}`"] for name in df.columns]).alias("row")
+def whole_row(df: DataFrame, keep: list[str] | None = None) -> Column:
+    """All (or some) columns as one struct `row`: its fields cannot clash with an operator's."""
+    return F.struct(*[df[f"`{name}`"] for name in keep or df.columns]).alias("row")
 
 
 def unpack(df: DataFrame, *added: str) -> DataFrame:
@@ -47,16 +47,20 @@ def unpack(df: DataFrame, *added: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
-             outcome: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
-    """Every row of `df` with columns that Python finds from the Arrow batches of `columns`."""
-    inner = df.select(whole_row(df), *[c.alias(f"in_{name}") for name, c in columns.items()])
+             outcome: Callable[[pa.RecordBatch], list[pa.Array]],
+             keep: list[str] | None = None) -> DataFrame:
+    """Every row of `df` with columns that Python finds from the Arrow batches of `columns`.
+
+    `keep` names the columns of `df` to return, all of them by default.
+    """
+    inner = df.select(whole_row(df, keep), *[c.alias(f"in_{name}") for name, c in columns.items()])
     added = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = T.StructType([inner.schema["row"], *added.fields])
-    names = ["row", *added.names]
+    given_names, names = list(columns), ["row", *added.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = pa.RecordBatch.from_arrays(batch.columns[1:], list(columns))
+            given = pa.RecordBatch.from_arrays(batch.columns[1:], given_names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *outcome(given)], names)
 
     return unpack(inner.mapInArrow(run, out), *added.names)
@@ -81,6 +85,46 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
+def parts(starts: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """The texts of a batch in runs of about `size` bytes, each of one text at least."""
+    begin, count = 0, len(starts) - 1
+    while begin < count:
+        end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + size)) - 1)
+        yield begin, min(end, count)
+        begin = min(end, count)
+
+
+class Words:
+    """The words of many texts as 64-bit hashes, found bytewise for all texts at once."""
+
+    def __init__(self, is_word: np.ndarray, fold: np.ndarray, hashes: Hashes):
+        """`is_word` and `fold`: for each byte, whether words have it and what it stands for."""
+        self.is_word, self.symbols = is_word, hashes.symbols[fold]
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray) -> tuple:
+        """For each word: its text, first byte, end and hash."""
+        inside = self.is_word[data]
+        first = inside.copy()
+        first[1:] &= ~inside[:-1]
+        heads = starts[:-1][starts[:-1] < starts[1:]]
+        first[heads] = inside[heads]
+        begin = np.flatnonzero(first)
+        if not len(begin):
+            none = np.zeros(0, np.int64)
+            return none, none, none, np.zeros(0, U64)
+        text = np.searchsorted(starts, begin, "right") - 1
+        # A word's bytes are the word bytes up to the next word.
+        count = np.concatenate((np.cumsum(inside)[begin[1:] - 1], [np.count_nonzero(inside)]))
+        length = np.diff(count, prepend=0)
+        place = np.arange(count[-1]) - np.repeat(count - length, length)
+        powers = np.full(int(length.max()), 0x9E3779B97F4A7C15, U64)
+        powers[0] = 1
+        value = np.add.reduceat(self.symbols[data[inside]] * np.cumprod(powers)[place],
+                                count - length)
+        value = (value ^ value >> U64(32)) * U64(0xC2B2AE3D27D4EB4F) + length.astype(U64)
+        return text, begin, begin + length, value ^ value >> U64(29)
+
+
 class Hashes:
     """64-bit hashes of every window of given lengths of a byte (or word hash) sequence.
 

@@ -33,7 +33,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickweave.llm.common import U64, Hashes, id_key, unpack, utf8, whole_row, window_min
+from clickweave.llm.common import (
+    U64,
+    Hashes,
+    id_key,
+    parts,
+    unpack,
+    utf8,
+    whole_row,
+    window_min,
+)
 
 LENGTH = 100
 BLOCK = 8
@@ -125,15 +134,15 @@ def _decide(k: np.ndarray, c: np.ndarray, doc: np.ndarray, copy: np.ndarray, at:
     k = np.where(kind == SHARED_ELSEWHERE, c, k)
     go, done = kind != COVERED, np.flatnonzero(kind == COVERED)
     done = done[np.lexsort((low[done], copy[done], doc[done]))]
-    parts = [(k[go], c[go], doc[go], copy[go] * 4 + kind[go], _pack(at[go], low[go], high[go]))]
+    rows = [(k[go], c[go], doc[go], copy[go] * 4 + kind[go], _pack(at[go], low[go], high[go]))]
     if len(done):
         d, p, lo, hi = doc[done], copy[done], low[done], high[done]
         new = np.concatenate(([True], (d[1:] != d[:-1]) | (p[1:] != p[:-1]) | (lo[1:] > hi[:-1] + 1)))
         first, last = np.flatnonzero(new), np.flatnonzero(np.concatenate((new[1:], [True])))
         d, p, lo = d[first], p[first], lo[first]
         spread = _surroundings(d.astype(U64), lo.astype(U64), p)
-        parts.append((spread, hi[last].astype(U64), d, p * 4 + COVERED, lo))
-    k, c, doc, tag, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        rows.append((spread, hi[last].astype(U64), d, p * 4 + COVERED, lo))
+    k, c, doc, tag, place = (np.concatenate(x) for x in zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays(
         [pa.array(x) for x in (k.view(np.int64), c.view(np.int64), doc, tag.astype(np.int32), place)],
         ["k", "c", "doc", "tag", "place"])
@@ -149,15 +158,12 @@ def _first_pass(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa
         for batch in batches:
             doc, copy = _ids(batch)
             data, starts = utf8(batch.column("row").field("text"))
-            begin = 0
-            while begin < len(doc):
-                end = max(begin + 1, int(np.searchsorted(starts, starts[begin] + BATCH_BYTES)) - 1)
+            for begin, end in parts(starts, BATCH_BYTES):
                 part = starts[begin:end + 1]
                 k, c, text, at, low, high = _windows_of_text(
                     data[part[0]:part[-1]], part - part[0], length)
                 if len(k):
                     yield _decide(k, c, doc[begin + text], copy[begin + text], at, low, high)
-                begin = end
     return run
 
 

@@ -1,0 +1,81 @@
+"""Decontamination against every window of every item sought in every document."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from clickweave.llm import decontamination
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+DOCS, ITEMS = "doc_id LONG, text STRING, hits INT, n_words STRING", "item_id LONG, text STRING"
+
+
+def words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return WORD.findall(lower)
+
+
+def brute(docs, items):
+    out = []
+    for doc_id, text in docs:
+        own = words(text)
+        hit, ids = set(), set()
+        for item_id, item in items:
+            theirs = words(item)
+            n = min(13, len(theirs))
+            for j in range(len(theirs) - n + 1) if n else ():
+                for i in range(len(own) - n + 1):
+                    if own[i:i + n] == theirs[j:j + n]:
+                        hit.update(range(i, i + n))
+                        ids.add(str(item_id))
+        out.append((doc_id, len(own), len(hit), len(ids),
+                    hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(),
+                    bool(hit) and 20 * len(hit) >= len(own)))
+    return sorted(out, key=str)
+
+
+def check(spark, docs, items, **settings):
+    df = spark.createDataFrame([(d, t, 1, "x") for d, t in docs], DOCS).repartition(3)
+    got = decontamination.report(df, spark.createDataFrame(items, ITEMS), **settings).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(docs, items)
+
+
+def sample(seed):
+    rng = random.Random(seed)
+    pool = ["a", "B", "été", "d9", "of", "日本", "x"]
+    items = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(1, 40)))) for i in range(25)]
+    items += [(100, None), (101, ""), (102, "?!"), (103, "of x " * 30), (0, items[3][1])]
+    docs = []
+    for i in range(80):
+        piece = " ".join(rng.choice(pool) for _ in range(rng.randint(0, 60)))
+        source = words(rng.choice(items)[1])
+        cut = rng.randint(0, max(0, len(source) - 13))
+        shared = ", ".join(source[cut:cut + rng.choice([12, 13, 20, 50])])
+        docs.append((i, rng.choice(["{0} {1}", "{1}|{0}", "{0}", "{0} {1} {0}"]).format(
+            piece, shared.upper() if rng.random() < .3 else shared)))
+    return [*docs, (None, None), (200, ""), (201, "x of " * 400), (7, docs[7][1])], items
+
+
+def test_random_texts(spark):
+    check(spark, *sample(1))
+
+
+def test_a_benchmark_in_blocks(spark):
+    check(spark, *sample(2), block_words=200)
+
+
+def test_empty_tables(spark):
+    docs, items = sample(3)
+    check(spark, docs[:9], [])
+    check(spark, [], items)
+
+
+def test_stage_keeps_clean_rows_and_columns(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, passage, 5, "a"), (2, "clean text", 6, "b"), (3, None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = decontamination.without_contamination(docs, spark.createDataFrame([(1, passage)], ITEMS))
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3]
