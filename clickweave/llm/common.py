@@ -14,6 +14,8 @@ from clickweave.session import work_folder
 
 NULL_ID = -(2**63)
 
+BATCH_BYTES = 1 << 24
+
 U64 = np.uint64
 
 
@@ -59,9 +61,12 @@ def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
     given_names, names = list(columns), ["row", *added.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            given = pa.RecordBatch.from_arrays(batch.columns[1:], given_names)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *outcome(given)], names)
+        for whole in batches:
+            # Python holds what it makes of so many bytes at a time, or of one row.
+            rows = max(1, whole.num_rows * BATCH_BYTES // max(1, whole.nbytes))
+            for batch in (whole.slice(i, rows) for i in range(0, whole.num_rows, rows)):
+                given = pa.RecordBatch.from_arrays(batch.columns[1:], given_names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *outcome(given)], names)
 
     return unpack(inner.mapInArrow(run, out), *added.names)
 

@@ -141,18 +141,22 @@ def links(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return near.union(stars).distinct()
 
 
+def _two(df: DataFrame, u1: Column, v1: Column, u2: Column, v2: Column) -> DataFrame:
+    """Two pairs (u, v) for each row."""
+    pairs = F.array(*[F.struct(u.alias("u"), v.alias("v")) for u, v in ((u1, v1), (u2, v2))])
+    return df.select(F.explode(pairs).alias("p")).select("p.u", "p.v")
+
+
 def _step(pairs: DataFrame) -> DataFrame:
     """One large star and one small star over pairs (u, v), u > v."""
-    both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _two(pairs, F.col("u"), F.col("v"), F.col("v"), F.col("u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(
         "u", F.least("u", "m").alias("m"))
     large = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
              .where("u > v").distinct())
     lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-    return (large.join(lowest, "u").select(F.col("v").alias("a"), "m", "u")
-            .select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("m").alias("v")),
-                                      F.struct(F.col("u").alias("u"), F.col("m").alias("v")))
-                              ).alias("p")).select("p.u", "p.v").where("u > v").distinct())
+    return _two(large.join(lowest, "u"), F.col("v"), F.col("m"), F.col("u"), F.col("m")).where(
+        "u > v").distinct()
 
 
 def components(pairs: DataFrame) -> DataFrame:
