@@ -4,28 +4,56 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweave.llm import suffix_dedup
+from clickweave.llm import bpe, decontamination, language, simhash, suffix_dedup
 from clickweave.llm.common import table
+from clickweave.llm.queries import tokenizer_path
 from clickweave.session import work_folder
 
 
-def _without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def with_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or of which less than half is in one language, go."""
+    return language.with_a_language(docs)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked SimHash fingerprints the least doc_id stays."""
+    return simhash.without_near_copies(docs)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 100 bytes that start earlier elsewhere are taken out of the texts."""
     return suffix_dedup.without_repeats(docs)
 
 
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more is benchmark windows go."""
+    return decontamination.without_contamination(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their tokens and the text these decode to, and digests of both."""
+    encoded = bpe.encode_decode(docs, tokenizer_path())
+    return encoded.withColumns(bpe.digests(encoded)).drop("decoded")
+
+
 STAGES = [
-    ("suffix-array dedup", _without_repeats),
+    ("language ID", with_a_language),
+    ("SimHash near-dedup", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", without_benchmarks),
+    ("BPE encoding and decoding", tokenized),
 ]
 
-# Hashes of the last stage's tokens have no SQL form; tests compare with a brute-force version.
+# Neither learned languages nor byte-pair merges have a SQL form: tests hold each stage, and the
+# whole, against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`documents` through all stages, each written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
+    folder = work_folder(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{work_folder(spark, 'pipeline')}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
     return docs
