@@ -13,10 +13,11 @@ them.
 from __future__ import annotations
 
 import functools
-import heapq
 import json
 import unicodedata
 from collections.abc import Callable
+from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.common import map_rows
 
-# Pieces kept with their tokens: how many, and the longest.
+# Words, and pieces between spaces, kept with their tokens: twice so many of each at most, and of so
+# many characters.
 KEPT, KEPT_CHARS = 1 << 17, 64
+# Bits of the second token where a pair of tokens is one number.
+PAIR = 20
 
 
 def _byte_symbols() -> list[str]:
@@ -53,14 +57,38 @@ def _normalizer(spec: dict | None) -> Callable[[str], str]:
     if kind == "NFC":
         return lambda text: unicodedata.normalize("NFC", text)
     if kind == "Replace":
-        pattern, content = _pattern(spec["pattern"]["Regex"]), spec["content"]
-        return lambda text: pattern.sub(lambda _: content, text)
+        pattern = _pattern(spec["pattern"]["Regex"])
+        content = spec["content"].replace("\\", r"\\")
+        return lambda text: pattern.sub(content, text)
     if kind == "Lowercase":
         # Character by character: a sigma at a word's end is no special case.
         return lambda text: text.replace("Σ", "σ").lower()
     raise ValueError(f"unknown normalizer {kind}")
 
 
+class _Kept:
+    """The results of a function, of recent arguments: those not used for a while are dropped."""
+
+    def __init__(self, find: Callable[[str], tuple[int, ...]]):
+        self.find = find
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, text: str) -> tuple[int, ...]:
+        found = self.young.get(text)
+        if found is not None:
+            return found
+        found = self.old.get(text)
+        if found is None:
+            found = self.find(text)
+            if len(text) > KEPT_CHARS:
+                return found
+        if len(self.young) >= KEPT:
+            self.old, self.young = self.young, {}
+        self.young[text] = found
+        return found
+
+
 class Tokenizer:
     """Encoder and decoder made from the JSON text of a tokenizers file."""
 
@@ -75,69 +103,89 @@ class Tokenizer:
         names = self.vocab | self.special
         self.names = {i: name for name, i in names.items()}
         pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b])
-                       for rank, (a, b) in enumerate(pairs)}
+        # By the pair of tokens its rank, by the rank the token it becomes.
+        self.ranks: dict[int, int] = {}
+        self.merged: list[int] = []
+        for rank, (a, b) in enumerate(pairs):
+            self.ranks[self.vocab[a] << PAIR | self.vocab[b]] = rank
+            self.merged.append(self.vocab[a + b])
         self.normalize = _normalizer(spec["normalizer"])
         steps = spec["pre_tokenizer"]["pretokenizers"]
         if [s["type"] for s in steps] != ["Split", "ByteLevel"]:
             raise ValueError("unknown pre-tokenizer")
         self.word = _pattern(steps[0]["pattern"]["Regex"])
-        self.symbols = _byte_symbols()
+        # The pattern takes a run of letters whole: such a piece need not be searched.
+        self.letters_are_words = r"|[\p{L}]+|" in steps[0]["pattern"]["Regex"]
+        symbols = _byte_symbols()
+        # The tokens of each byte, within a word and at its end.
+        self.inner = [self.vocab[s] for s in symbols]
+        self.last = [self.vocab[s + self.end] for s in symbols]
         longest = sorted(self.special, key=len, reverse=True)
         self.special_text = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")")
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.word_tokens = _Kept(self.merge)
+        self.piece_tokens = _Kept(self._piece)
 
-    def merge(self, word: str) -> list[int]:
+    def merge(self, word: str) -> tuple[int, ...]:
         """The tokens of one word."""
-        symbols = [self.symbols[b] for b in word.encode()]
-        symbols[-1] += self.end
-        ids = [self.vocab[s] for s in symbols if s in self.vocab]
+        symbols = word.encode()
+        inner, rank_of = self.inner, self.ranks.get
+        ids = [inner[b] for b in symbols]
+        ids[-1] = self.last[symbols[-1]]
         n = len(ids)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, int, int, int]] = []
-
-        def offer(left: int, right: int) -> None:
-            found = self.merges.get((ids[left], ids[right]))
-            if found is not None:
-                heapq.heappush(queue, (found[0], left, ids[left], ids[right], found[1]))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
+        # The rank of each symbol with the next one: what the queue has of it is stale if not that.
+        ranks = [rank_of(a << PAIR | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+        ranks.append(-1)
+        # A merge waits as one number: its rank, then its place.
+        bits = n.bit_length()
+        places = (1 << bits) - 1
+        queue = [r << bits | i for i, r in enumerate(ranks) if r >= 0]
+        heapify(queue)
+        merged, before, after = self.merged, list(range(-1, n - 1)), list(range(1, n + 1))
         while queue:
-            _, left, a, b, merged = heapq.heappop(queue)
+            top = heappop(queue)
+            left, rank = top & places, top >> bits
+            if ranks[left] != rank:
+                continue
             right = after[left]
-            if ids[left] != a or right < 0 or ids[right] != b:
-                continue  # stale: one of the two has merged meanwhile
-            ids[left], ids[right] = merged, -1
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-                offer(left, after[left])
-            if before[left] >= 0:
-                offer(before[left], left)
-        return [i for i in ids if i >= 0]
+            new = ids[left] = merged[rank]
+            ids[right] = ranks[right] = ranks[left] = -1
+            following = after[left] = after[right]
+            if following < n:
+                before[following] = left
+                rank = rank_of(new << PAIR | ids[following])
+                if rank is not None:
+                    ranks[left] = rank
+                    heappush(queue, rank << bits | left)
+            previous = before[left]
+            if previous >= 0:
+                rank = ranks[previous] = rank_of(ids[previous] << PAIR | new, -1)
+                if rank >= 0:
+                    heappush(queue, rank << bits | previous)
+        return tuple([i for i in ids if i >= 0])
 
     def _piece(self, piece: str) -> tuple[int, ...]:
         """The tokens of a piece without white space."""
-        found = self.kept.get(piece)
-        if found is None:
-            found = tuple(i for word in self.word.findall(piece) for i in self.merge(word))
-            if len(piece) <= KEPT_CHARS:
-                if len(self.kept) >= KEPT:
-                    self.kept.clear()
-                self.kept[piece] = found
-        return found
+        if self.letters_are_words and piece.isalpha():
+            return self.word_tokens(piece)
+        words = self.word.findall(piece)
+        return tuple([i for word in words for i in self.word_tokens(word)])
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
+        recent, find = self.piece_tokens.young, self.piece_tokens
         for number, part in enumerate(self.special_text.split(text)):
             if number % 2:
                 ids.append(self.special[part])
-            elif part:
-                # No word of the pattern holds a space, so pieces can be looked up by themselves.
-                for piece in self.normalize(part).split(" "):
-                    if piece:
-                        ids += self._piece(piece)
+                continue
+            # No word of the pattern holds a space, so pieces can be looked up by themselves.
+            for piece in self.normalize(part).split(" "):
+                found = recent.get(piece)
+                if found is None:
+                    if not piece:
+                        continue
+                    found = find(piece)
+                    recent = find.young
+                ids += found
         return ids
 
     def decode(self, ids: list[int]) -> str:
@@ -166,7 +214,7 @@ def encode_decode(docs: DataFrame, path: str, keep: list[str] | None = None) ->
         tokenizer = _tokenizer(spec.value)
         rows = [tokenizer.encode(t.as_py() or "") for t in batch.column("text")]
         ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-        flat = np.fromiter((i for row in rows for i in row), np.int32, int(ends[-1]))
+        flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 pa.array([tokenizer.decode(row) for row in rows], pa.string())]
 

@@ -40,15 +40,16 @@ TEXTS = ["", " ", "Hello, WORLD's  they'll 2024!", "ΑΣ ΟΔΟΣ Σ", "İstanbu
 
 
 def slow_merge(t, word):
-    ids = [t.vocab[s] for s in [*(t.symbols[b] for b in word.encode()[:-1]),
-                                t.symbols[word.encode()[-1]] + t.end]]
+    data = word.encode()
+    ids = [*(t.inner[b] for b in data[:-1]), t.last[data[-1]]]
     while True:
-        found = [(t.merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:], strict=False))
-                 if p in t.merges]
+        found = [(t.ranks[a << bpe.PAIR | b], i)
+                 for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False))
+                 if a << bpe.PAIR | b in t.ranks]
         if not found:
-            return ids
-        _, i = min(found)
-        ids[i:i + 2] = [t.merges[ids[i], ids[i + 1]][1]]
+            return tuple(ids)
+        rank, i = min(found)
+        ids[i:i + 2] = [t.merged[rank]]
 
 
 def test_the_library_agrees(mine, library):
@@ -69,6 +70,12 @@ def test_merging(mine):
         assert mine.merge(word) == slow_merge(mine, word)
 
 
+def test_few_kept(mine, library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT", 3)
+    text = " ".join(TEXTS) * 3
+    assert mine.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_query(spark, library, path):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, None), (3, TEXTS[3])]
     df = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], DOCS)
