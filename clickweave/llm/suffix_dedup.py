@@ -261,7 +261,7 @@ def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low[new], reach[np.flatnonzero(np.concatenate((new[1:], [True])))] if len(low) else reach
 
 
-def _cut(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cut(length: int, as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = utf8(batch.column("row").field("text"))
@@ -284,18 +284,19 @@ def _cut(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
                               for a, b in zip(low, high, strict=True)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(np.diff(starts)), pa.array(spans, _SPANS),
-                 pa.array(kept, pa.binary())], ["row", "n_bytes", "spans", "kept"])
+                 pa.array([k.decode(errors="ignore") for k in kept], pa.string())
+                 if as_text else pa.array(kept, pa.binary())], ["row", "n_bytes", "spans", "kept"])
     return run
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """Every row of `docs` with what is left of its `text` once repeated passages are removed.
 
     Adds `n_bytes` (of the UTF-8 text), `spans` (removed runs, array of start and end byte) and
-    `kept` (binary). A byte is removed if a string of `length` bytes covers it that also starts
+    `kept` (binary; `as_text`: a string, without characters cut apart). A byte is removed if a string of `length` bytes covers it that also starts
     earlier: in a document with a smaller doc_id, or in the same one at an earlier start. Overlaps
     count, matches never cross documents, and strings are judged on the input.
 
@@ -318,9 +319,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     own = F.filter("spans", lambda r: r["copy"] == F.col("copy"))
     out = T.StructType([T.StructField("row", schema)]
                        + T.StructType.fromDDL("n_bytes LONG, spans ARRAY<STRUCT<start: LONG, "
-                                              "end: LONG>>, kept BINARY").fields)
+                                              "end: LONG>>, kept "
+                                              + ("STRING" if as_text else "BINARY")).fields)
     cut = texts.join(spans, "doc", "left").select("row", own.alias("spans")).mapInArrow(
-        _cut(length), out)
+        _cut(length, as_text), out)
     return unpack(cut, "n_bytes", "spans", "kept")
 
 
@@ -333,7 +335,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with repeated passages taken out of `text`; a character cut apart goes whole."""
-    found = remove_repeats(docs)
-    text = F.expr("decode(kept, 'UTF-8')")
-    return found.withColumn("text", text).select(*docs.columns)
+    """`docs` with repeated passages taken out of `text`, as are characters cut apart by that."""
+    found = remove_repeats(docs, as_text=True)
+    return found.withColumn("text", F.col("kept")).select(*docs.columns)

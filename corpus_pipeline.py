@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweave.llm import bpe, decontamination, language, simhash, suffix_dedup
 from clickweave.llm.common import table
@@ -22,7 +23,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 100 bytes that start earlier elsewhere are taken out of the texts."""
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs).withColumn(
+        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
