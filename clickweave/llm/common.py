@@ -14,7 +14,7 @@ from clickweave.session import work_folder
 
 NULL_ID = -(2**63)
 
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 1 << 22
 
 U64 = np.uint64
 

@@ -240,7 +240,7 @@ def learn(labelled: DataFrame, learn_docs: int = LEARN_DOCS) -> Model:
 
     def count(batches):
         for batch in batches:
-            step = max(1, batch.num_rows * (1 << 23) // max(1, batch.nbytes))
+            step = max(1, batch.num_rows * (1 << 22) // max(1, batch.nbytes))
             for part in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
                 data, starts = utf8(part.column("text"))
                 names = part.column("lang").to_pylist()
