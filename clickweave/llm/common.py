@@ -15,6 +15,7 @@ from clickweave.session import work_folder
 NULL_ID = -(2**63)
 
 BATCH_BYTES = 1 << 22
+ARROW_BYTES = 1 << 24
 
 U64 = np.uint64
 
@@ -48,6 +49,14 @@ def unpack(df: DataFrame, *added: str) -> DataFrame:
     return df.select(*[F.col("row")[name].alias(name) for name in kept], *added)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session hold ARROW_BYTES at most, so Python workers do as well."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(str(spark.conf.get(name)).removesuffix("b"))
+    if not 0 < now <= ARROW_BYTES:
+        spark.conf.set(name, f"{ARROW_BYTES}b")
+
+
 def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
              outcome: Callable[[pa.RecordBatch], list[pa.Array]],
              keep: list[str] | None = None) -> DataFrame:
@@ -55,6 +64,7 @@ def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
 
     `keep` names the columns of `df` to return, all of them by default.
     """
+    bound_batches(df.sparkSession)
     inner = df.select(whole_row(df, keep), *[c.alias(f"in_{name}") for name, c in columns.items()])
     added = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out = T.StructType([inner.schema["row"], *added.fields])

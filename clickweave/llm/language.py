@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import U64, Hashes, Words, map_rows, utf8
+from clickweave.llm.common import U64, Hashes, Words, bound_batches, map_rows, utf8
 
 # At most about so many labelled documents are learned from, chosen by a hash of their id.
 LEARN_DOCS = 20_000
@@ -260,6 +260,7 @@ def learn(labelled: DataFrame, learn_docs: int = LEARN_DOCS) -> Model:
                         [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)),
                          pa.array(table[at].astype(np.int64))], ["lang", "feature", "n"])
 
+    bound_batches(labelled.sparkSession)
     counted = rows.select("text", "lang").mapInArrow(count, "lang STRING, feature INT, n LONG")
     table = np.zeros((COLUMNS, len(languages)))
     for lang, feature, n in counted.groupBy("lang", "feature").agg(F.sum("n")).collect():

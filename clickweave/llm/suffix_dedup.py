@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from clickweave.llm.common import (
     U64,
     Hashes,
+    bound_batches,
     id_key,
     parts,
     unpack,
@@ -55,7 +56,7 @@ DIGIT, SURROUNDINGS = Hashes(101), Hashes(202)
 PLAIN, COVERED, SHARED, SHARED_ELSEWHERE = 0, 1, 2, 3
 
 # Rows whose surroundings are cut out at a time: a few dozen hashes are held for each byte of them.
-ROWS = 1 << 12
+ROWS = 1 << 10
 # Bytes of text after which a batch is decided upon.
 BATCH_BYTES = 1 << 23
 
@@ -304,6 +305,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     Rows with the same doc_id are documents of their own, ordered by text; of two equal rows the
     first stays. Input columns named like an added one are replaced by it. No rows give no rows.
     """
+    bound_batches(docs.sparkSession)
     schema = docs.select(whole_row(docs)).schema["row"].dataType
     rows = docs.select(id_key(docs["doc_id"]).alias("doc"), whole_row(docs)).repartition("doc")
     # The columns are the same wherever the texts are read, so they are shuffled only once.
