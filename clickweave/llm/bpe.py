@@ -29,7 +29,7 @@ from clickweave.llm.common import map_rows
 
 # Words, and pieces between spaces, kept with their tokens: twice so many of each at most, and of so
 # many characters.
-KEPT, KEPT_CHARS = 1 << 17, 64
+KEPT, KEPT_CHARS = 3 << 15, 64
 # Bits of the second token where a pair of tokens is one number.
 PAIR = 20
 
