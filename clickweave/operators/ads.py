@@ -12,12 +12,22 @@ from pyspark.sql import functions as F
 from clickweave.functions.dates import day_key, from_epoch_ms
 from clickweave.operators.joins import keys_to_match
 
-# A log line, its whole numbers within the range of BIGINT.
-LINE_PATTERN = r"^\d{1,15} \S+ \S+ -?\d{1,18} -?\d{1,18}( .*)?$"
+# Milliseconds since 1970 that a timestamp can hold, whose unit is the microsecond.
+MAX_MILLISECONDS = (2**63 - 1) // 1000
+
+
+def _number(text: Column) -> Column:
+    """A whole number within the range of BIGINT, else null."""
+    return F.when(text.rlike(r"^-?[0-9]+$"), text.try_cast("bigint"))
 
 
 def _is_click() -> Column:
-    return F.coalesce(F.col("value").rlike(LINE_PATTERN), F.lit(False))
+    """A time, two names and two numbers, each one space apart."""
+    part = F.split(F.col("value"), " ")
+    time, user, ad = (_number(F.get(part, F.lit(i))) for i in (0, 3, 4))
+    named = [F.get(part, F.lit(i)).rlike(r"^\S+$") for i in (1, 2)]
+    return F.coalesce(time.between(-MAX_MILLISECONDS, MAX_MILLISECONDS) & user.isNotNull()
+                      & ad.isNotNull() & named[0] & named[1], F.lit(False))
 
 
 def valid_clicks(lines: DataFrame) -> DataFrame:
@@ -25,9 +35,8 @@ def valid_clicks(lines: DataFrame) -> DataFrame:
     part = F.split(F.col("value"), " ")
     return lines.where(_is_click()).select(
         *[c for c in lines.columns if c != "value"],
-        from_epoch_ms(part[0].cast("bigint")).alias("ts"), part[1].alias("province"),
-        part[2].alias("city"), part[3].cast("bigint").alias("user_id"),
-        part[4].cast("bigint").alias("ad_id"))
+        from_epoch_ms(_number(part[0])).alias("ts"), part[1].alias("province"),
+        part[2].alias("city"), _number(part[3]).alias("user_id"), _number(part[4]).alias("ad_id"))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:

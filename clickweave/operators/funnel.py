@@ -7,16 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickweave.operators.joins import broadcast_below
-
-# A session of more rows than this is ordered in chunks of time, by many tasks.
-HOT_ROWS = 1_000_000
-CHUNK_MINUTES = 10
-
-# Sessions looked at and counters kept by the sketch that finds the hot ones: it cannot miss a
-# session with a thousandth of all rows.
-HOT_SESSIONS = 1000
-COUNTERS = 10_000
+# Minutes of a session that one task orders.
+SLICE_MINUTES = 10
 
 
 def tie_breaker(actions: DataFrame) -> str:
@@ -24,42 +16,31 @@ def tie_breaker(actions: DataFrame) -> str:
     return "event_id" if "event_id" in actions.columns else "page_id"
 
 
-def hot_sessions(actions: DataFrame, at_least: int) -> DataFrame:
-    """Sessions with about so many rows or more, at most HOT_SESSIONS, found in one pass."""
-    counted = F.expr(f"approx_top_k(session_id, {HOT_SESSIONS}, {COUNTERS})")
-    return (actions.agg(counted.alias("top")).select(F.inline("top"))
-            .where(F.col("count") >= at_least).select(F.col("item").alias("session_id")))
-
-
-def page_transitions(actions: DataFrame, hot_rows: int = HOT_ROWS,
-                     chunk_minutes: int = CHUNK_MINUTES) -> DataFrame:
+def page_transitions(actions: DataFrame, slice_minutes: int = SLICE_MINUTES) -> DataFrame:
     """Each action's page and the next page of its session, null at the session's end.
 
-    A session is ordered by one task unless it is hot. A hot one is ordered chunk by chunk; then
-    only the last row of a chunk lacks its successor, the first row of the session's next chunk,
-    which a second window over the chunks' end rows alone finds. Which sessions are taken for hot
-    changes the work of the tasks, not the result.
+    Every session is ordered slice by slice of its wall-clock time, so that no task orders a whole
+    one. The last row of a slice is followed by the first of the session's next slice: these ends
+    are found by an aggregate merged on the map side, and a session has at most one pair of them for
+    each slice of the calendar. Rows without a session id are taken as one session.
     """
-    tie = tie_breaker(actions)
-    ordering = ["action_time", tie]
-    chunk = F.floor(F.unix_seconds(F.col("action_time").cast("timestamp")) / (chunk_minutes * 60))
-    hot = hot_sessions(actions, hot_rows).withColumn("is_hot", F.lit(True))
-    rows = (actions.select("session_id", *dict.fromkeys([*ordering, "page_id"]))
-            .join(broadcast_below(hot, HOT_SESSIONS), "session_id", "left")
-            .withColumn("chunk", F.when(F.col("is_hot"), chunk)))
-    in_chunk = Window.partitionBy("session_id", "chunk").orderBy(*ordering)
-    in_session = Window.partitionBy("session_id").orderBy(*ordering)
-    is_last = F.lead(F.lit(False), 1, True).over(in_chunk)
+    ordering = list(dict.fromkeys(["action_time", tie_breaker(actions), "page_id"]))
+    # Of the zone-free time: a change of clocks does not touch it.
+    minute = F.timestamp_diff("MINUTE", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
+                              F.col("action_time").cast("timestamp_ntz"))
+    rows = actions.select("session_id", *ordering).withColumn(
+        "slice", F.floor(minute / slice_minutes))
+    in_slice = Window.partitionBy("session_id", "slice").orderBy(*ordering)
+    in_session = Window.partitionBy("session_id").orderBy("slice")
     result = ["session_id", "page_id", "next_page_id"]
-    inside = (rows.withColumn("next_page_id", F.lead("page_id").over(in_chunk))
-              .withColumn("is_last", is_last)
-              .where("is_hot IS NULL OR NOT is_last").select(*result))
-    across = (rows.where("is_hot")
-              .withColumn("is_first", F.row_number().over(in_chunk) == 1)
-              .withColumn("is_last", is_last)
-              .where("is_first OR is_last")
-              .withColumn("next_page_id", F.lead("page_id").over(in_session))
-              .where("is_last").select(*result))
+    inside = (rows.withColumn("next_page_id", F.lead("page_id").over(in_slice))
+              .withColumn("is_last", F.lead(F.lit(False), 1, True).over(in_slice))
+              .where("NOT is_last").select(*result))
+    row = F.struct(*ordering)
+    across = (rows.groupBy("session_id", "slice")
+              .agg(F.min(row).alias("first"), F.max(row).alias("last"))
+              .withColumn("next_page_id", F.lead("first.page_id").over(in_session))
+              .select("session_id", "last.page_id", "next_page_id"))
     return inside.unionByName(across)
 
 

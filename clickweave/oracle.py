@@ -258,7 +258,7 @@ def oracle_sql() -> dict[str, str]:
             ts < CAST(ts AS DATE) + INTERVAL 12 HOUR AS before_noon,
             ts > CAST(ts AS DATE) + INTERVAL 12 HOUR AS after_noon,
             CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS BIGINT) AS second_of_day,
-            true AS today_after_yesterday FROM events""",
+            10 AS today_length, 1 AS days_since_yesterday FROM events""",
         "fn_text": _sql("""SELECT event_id,
             array_to_string(list_sort(list_transform(string_split(order_category_ids, ','),
               lambda x: CAST(x AS BIGINT))), ',') AS order_ids,

@@ -178,7 +178,9 @@ def _fn_dates(t: Inputs) -> DataFrame:
         dates.is_before(ts, noon).alias("before_noon"),
         dates.is_after(ts, noon).alias("after_noon"),
         dates.seconds_between(midnight, ts).alias("second_of_day"),
-        (dates.today() > dates.yesterday()).alias("today_after_yesterday"))
+        F.length(dates.today()).alias("today_length"),
+        F.date_diff(dates.today().cast("date"), dates.yesterday().cast("date"))
+        .alias("days_since_yesterday"))
 
 
 def _fn_text(t: Inputs) -> DataFrame:

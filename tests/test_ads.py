@@ -30,6 +30,18 @@ def test_lines(spark):
     assert tuples(ads.rejected_lines(more)) == [(None,)]
 
 
+def test_lines_with_long_numbers(spark):
+    good = [("1704880801000", "1234567890123456789", "9000000000000000000"),
+            ("0", "9223372036854775807", "-9223372036854775808"), ("-1", "-5", "007")]
+    bad = [("1704880801000", "9223372036854775808", "1"), ("9223372036854775807", "1", "1"),
+           ("1704880801000", "1.0", "1"), ("1704880801000", "\t1", "1"), ("1704880801000", "+1", "1")]
+    lines = [f"{time} p c {user} {ad}" for time, user, ad in good + bad]
+    rows = spark.createDataFrame([(line,) for line in lines], "value STRING")
+    assert tuples(ads.valid_clicks(rows), "user_id", "ad_id") == sorted(
+        (int(user), int(ad)) for _, user, ad in good)
+    assert tuples(ads.rejected_lines(rows)) == sorted((line,) for line in lines[3:])
+
+
 def test_user_counts_and_blacklist(clicks):
     counts = ads.user_clicks(clicks)
     assert tuples(counts) == [("20240110", 1, 5, 3), ("20240110", 2, 6, 1),

@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from datetime import datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from clickweave.operators import funnel
 from tests.tables import action, actions, tuples
@@ -30,31 +30,36 @@ def found_pages(transitions):
 
 @settings(max_examples=8, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(visits=st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 4000),
+@given(visits=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 4000),
                                  st.integers(1, 5)), min_size=1, max_size=60),
-       hot_rows=st.sampled_from([1, 12, 10**6]), minutes=st.sampled_from([1, 10, 100]))
-def test_transitions_are_those_of_whole_sessions(spark, visits, hot_rows, minutes):
-    rows = [action(i, s, second, page_id=page) for i, (s, second, page) in enumerate(visits)]
-    transitions = funnel.page_transitions(actions(spark, *rows), hot_rows, minutes)
-    assert found_pages(transitions) == next_pages(rows)
+       minutes=st.sampled_from([1, 10, 100]),
+       zone=st.sampled_from(["UTC", "America/New_York"]))
+def test_transitions_are_those_of_whole_sessions(spark, visits, minutes, zone):
+    # On this day New York's clocks skip the hour from two o'clock.
+    day = datetime(2024, 3, 10, 1, 30)
+    rows = [action(i, s, second, page_id=page, day=day)
+            for i, (s, second, page) in enumerate(visits)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        transitions = funnel.page_transitions(actions(spark, *rows), minutes)
+        assert found_pages(transitions) == next_pages(rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_transitions_gather_nothing_in_one_task(spark):
+    plan = funnel.page_transitions(actions(spark, action(1, "s"))).select("page_id")
+    assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_a_session_holding_most_of_the_log(spark):
     rows = [action(i, "hot" if i % 3 else f"s{i}", i * 7 % 20_000, page_id=i % 9)
             for i in range(3000)]
     log = actions(spark, *rows)
-    assert tuples(funnel.hot_sessions(log, 1000)) == [("hot",)]
-    for hot_rows in (1000, 10**6):
-        transitions = funnel.page_transitions(log, hot_rows)
-        assert transitions.count() == 3000
-        assert found_pages(transitions) == next_pages(rows)
-
-
-def test_hot_session_among_many_is_found(spark):
-    log = spark.range(100_000).select(F.when(F.col("id") % 100 == 0, "hot")
-                                      .otherwise(F.concat(F.lit("s"), "id")).alias("session_id"))
-    assert tuples(funnel.hot_sessions(log, 900)) == [("hot",)]
-    assert funnel.hot_sessions(log.where("session_id <> 'hot'"), 900).count() == 0
+    transitions = funnel.page_transitions(log)
+    assert transitions.count() == 3000
+    assert found_pages(transitions) == next_pages(rows)
 
 
 def test_equal_times_go_by_event_or_by_page(spark):
