@@ -8,6 +8,7 @@ values stay right after a restart.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,13 @@ def with_task_id(result: DataFrame, task_id: str) -> DataFrame:
 
 
 def append_result(result: DataFrame, path: str, task_id: str) -> None:
-    """Write a task's result below its task id; running the task again replaces only its rows."""
-    _overwrite_partitions(with_task_id(result, task_id), path, ["taskid"])
+    """Write a task's result below its task id; running the task again replaces only its rows.
+
+    The task's folder is written as a whole: a result that is empty now leaves no earlier rows, and
+    a first one that is empty can be read.
+    """
+    folder = f"{path}/taskid={quote(task_id, safe='')}"
+    result.hint("rebalance").write.mode("overwrite").parquet(folder)
 
 
 def append_jdbc(result: DataFrame, url: str, table: str, task_id: str,

@@ -98,3 +98,16 @@ def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
         work_folder(Session(), "x")
     Context.master = "local[2]"
     assert "/x-" in work_folder(Session(), "x")
+
+
+def test_a_task_that_becomes_empty(spark, tmp_path):
+    path = str(tmp_path / "emptied")
+    rows = spark.createDataFrame([(1,), (2,)], "n INT")
+    sinks.append_result(rows.limit(0), path, "a:b/c")
+    assert spark.read.parquet(path).columns == ["n", "taskid"]
+    sinks.append_result(rows, path, "other")
+    for now in (rows, rows.limit(0), rows):
+        sinks.append_result(now, path, "a:b/c")
+        found = spark.read.parquet(path).where("taskid = 'a:b/c'").select("n")
+        assert sorted(r.n for r in found.collect()) == sorted(r.n for r in now.collect())
+    assert spark.read.parquet(path).where("taskid = 'other'").count() == 2
