@@ -53,6 +53,13 @@ def _per_day(clicks: DataFrame, keys: list[str], late_by: str | None) -> DataFra
     return counts.select(day_key(F.col("day")).alias("date"), *keys, "click_count")
 
 
+def is_closed(unit: str, newest: Column, late_by: str) -> Column:
+    """Whether a watermark of `late_by` on the click's day or minute has passed it."""
+    start, end = (F.unix_micros(F.date_trunc(unit, ts)) for ts in (F.col("ts"), newest))
+    delay = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00Z' + INTERVAL {late_by})")
+    return start <= end - delay
+
+
 def user_clicks(clicks: DataFrame, late_by: str | None = None) -> DataFrame:
     """Clicks per day, user and ad."""
     return _per_day(clicks, ["user_id", "ad_id"], late_by)

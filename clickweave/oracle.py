@@ -360,6 +360,9 @@ def oracle_sql() -> dict[str, str]:
             user_id, ad_id FROM clicks"""),
         "stream_ad_rejects": _sql(f"SELECT {_LINE} AS value FROM clicks WHERE event_type = 'error'",
                                   _AD_CLICKS),
+        "stream_ad_out_of_time": _sql(f"""SELECT {_EPOCH_MS} AS epoch_ms, province, city, user_id,
+            ad_id, 'day_closed' AS reason FROM clicks
+            WHERE event_type <> 'error' AND ts < TIMESTAMP '2024-01-11 00:00:00'""", _AD_CLICKS),
         "stream_ad_city_clicks": _stream("SELECT * FROM city_clicks"),
         "stream_ad_province_top3": _stream(_TOP3),
         "stream_ad_minute_trend": _stream(f"{_TREND} GROUP BY ALL"),

@@ -14,9 +14,8 @@ from clickweave.params import TaskParams
 from clickweave.plans.region_sql import region_views
 from clickweave.session import work_folder
 from clickweave.sources import sinks, star_schema, tables
-from clickweave.sources.streams import text_lines
 from clickweave.streaming.ad_monitor import CATCH_UP, AdMonitor
-from clickweave.streaming.replay import replay
+from clickweave.streaming.replay import replay, replay_late
 
 PARAMS = TaskParams(start_date="2024-01-05", end_date="2024-01-25", start_age=20, end_age=50,
                     target_page_flow=(1, 2, 3, 4, 5, 6, 7))
@@ -255,10 +254,11 @@ def _stream_clean(t: Inputs) -> DataFrame:
                                     "user_id", "ad_id")
 
 
-def _stream_rejects(t: Inputs) -> DataFrame:
-    lines = text_lines(t.spark, t.monitor.path("lines"))
-    t.monitor.start_rejects(lines, CATCH_UP).awaitTermination()
-    return t.spark.read.parquet(t.monitor.path("rejects"))
+def _stream_out_of_time(t: Inputs) -> DataFrame:
+    """The first part of the log comes last, when its days have long been closed."""
+    monitor = replay_late(t.spark, t.sf_dir)
+    return monitor.out_of_time().select(F.unix_millis("ts").alias("epoch_ms"), "province", "city",
+                                        "user_id", "ad_id", "reason")
 
 
 def _stream_city_clicks(t: Inputs) -> DataFrame:
@@ -404,7 +404,8 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stream_ad_blacklist": lambda t: t.monitor.blacklist(),
     "stream_ad_user_clicks": lambda t: t.monitor.user_clicks(),
     "stream_ad_clicks_clean": _stream_clean,
-    "stream_ad_rejects": _stream_rejects,
+    "stream_ad_rejects": lambda t: t.monitor.rejects(),
+    "stream_ad_out_of_time": _stream_out_of_time,
     "stream_ad_city_clicks": _stream_city_clicks,
     "stream_ad_province_top3": _stream_province_top,
     "stream_ad_minute_trend": _stream_trend,

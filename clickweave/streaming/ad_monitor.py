@@ -4,22 +4,30 @@ The stream filters on a list it writes itself, which no single streaming plan ca
 into queries that meet in tables:
 
     lines -> filter  -> clean             clicks of users not listed when their batch began
+                     -> rejects           lines that are no click
+                     -> out_of_time       clicks too far ahead, or of a closed day or minute
              clean   -> user_clicks       per day, user and ad; above the threshold -> blacklist
              clean   -> ad_stat           per day, province, city and ad
              clean   -> ad_province_top3  per day, province and ad, the best of them
              clean   -> ad_click_trend    per minute and ad
 
 Counts live in the state store and are merged on the map side, so a batch costs what it brings, not
-what the day has gathered, and a user with very many clicks is one row per task. A watermark closes
-old days and minutes. Every query has its checkpoint and every table is written per batch, so a
-restart goes on where it stopped and a replayed batch changes nothing.
+what the day has gathered, and a user with very many clicks is one row per task. Every query has its
+checkpoint and every table is written per batch, so a restart goes on where it stopped and a replayed
+batch changes nothing.
+
+A watermark closes old days and minutes. The filter keeps the same clock over what it lets through and
+sets aside what the counts would drop; it also sets aside clicks from the future, one of which would
+else close every day before it. So each line is in `clean`, `rejects` or `out_of_time`, or its user is
+listed.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,8 +38,12 @@ CLICK_SCHEMA = "ts TIMESTAMP, province STRING, city STRING, user_id BIGINT, ad_i
 USER_CLICK_SCHEMA = "date STRING, user_id BIGINT, ad_id BIGINT, click_count BIGINT"
 BLACKLIST_SCHEMA = "user_id BIGINT"
 STAT_SCHEMA = "date STRING, province STRING, city STRING, ad_id BIGINT, click_count BIGINT"
+PROVINCE_SCHEMA = "date STRING, province STRING, ad_id BIGINT, click_count BIGINT"
 TOP_SCHEMA = """province STRING, ad_id BIGINT, click_count BIGINT, batch_id BIGINT,
     date STRING, slot INT"""
+# The reason says why a click is not counted in full, null if it is.
+CLEAN_SCHEMA = OUT_OF_TIME_SCHEMA = f"{CLICK_SCHEMA}, reason STRING"
+CLOCK_SCHEMA = "newest TIMESTAMP"
 TREND_SCHEMA = "date STRING, hour STRING, minute STRING, ad_id BIGINT, click_count BIGINT"
 
 LIVE = {"processingTime": "5 seconds"}
@@ -43,7 +55,8 @@ class AdMonitor:
     """The tables and queries below one shared folder.
 
     A day is dated by its first second, so `day_late_by` has to be over a day for clicks of
-    yesterday to count after midnight.
+    yesterday to count after midnight. `ahead_by` is how far a click may be ahead of the time its
+    batch began.
     """
 
     spark: SparkSession
@@ -52,16 +65,20 @@ class AdMonitor:
     top_size: int = 3
     day_late_by: str = "25 hours"
     minute_late_by: str = "60 minutes"
+    ahead_by: str = "10 minutes"
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def create_tables(self) -> AdMonitor:
         for table, schema, partition_by in (
-                ("clean", CLICK_SCHEMA, ()),
+                ("clean", CLEAN_SCHEMA, ()),
+                ("rejects", "value STRING", ()),
+                ("out_of_time", OUT_OF_TIME_SCHEMA, ()),
                 ("ad_blacklist", BLACKLIST_SCHEMA, ()),
                 ("ad_user_click_count", USER_CLICK_SCHEMA, ("date",)),
                 ("ad_stat", STAT_SCHEMA, ("date",)),
+                ("ad_province_click_count", PROVINCE_SCHEMA, ("date",)),
                 ("ad_click_trend", TREND_SCHEMA, ("date",))):
             sinks.create_batches(self.spark, self.path(table), schema, partition_by)
         sinks.create_table(self.spark, self.path("ad_province_top3"), TOP_SCHEMA, ["date", "slot"])
@@ -73,7 +90,14 @@ class AdMonitor:
         return self._rows("ad_blacklist", BLACKLIST_SCHEMA).select("user_id").distinct()
 
     def clean(self) -> DataFrame:
-        return self._rows("clean", CLICK_SCHEMA).drop("batch_id")
+        return self._rows("clean", CLEAN_SCHEMA).drop("batch_id", "reason")
+
+    def rejects(self) -> DataFrame:
+        return self._rows("rejects", "value STRING").drop("batch_id")
+
+    def out_of_time(self) -> DataFrame:
+        """Clicks set aside. Those of a closed minute are in `clean` too, for the counts by day."""
+        return self._rows("out_of_time", OUT_OF_TIME_SCHEMA).drop("batch_id")
 
     def user_clicks(self) -> DataFrame:
         return sinks.latest(self._rows("ad_user_click_count", USER_CLICK_SCHEMA),
@@ -93,16 +117,12 @@ class AdMonitor:
     # Queries.
 
     def start_filter(self, lines: DataFrame, trigger: dict = LIVE) -> StreamingQuery:
-        """Drop clicks of listed users; what is listed meanwhile counts from the next batch."""
-        clicks = ads.valid_clicks(lines).select("ts", "province", "city", "user_id", "ad_id")
-        return self._start("filter", clicks, self._write_clean, trigger, "append")
+        """Sort the lines; what is listed meanwhile counts from the next batch.
 
-    def start_rejects(self, lines: DataFrame, trigger: dict = LIVE) -> StreamingQuery:
-        """Keep lines that are no click."""
-        return (ads.rejected_lines(lines).writeStream.format("parquet").outputMode("append")
-                .queryName("rejects").trigger(**trigger)
-                .option("checkpointLocation", self.path("checkpoints/rejects"))
-                .start(self.path("rejects")))
+        `now` is the time the batch began, which a replay finds in the checkpoint.
+        """
+        timed = lines.select("value", F.current_timestamp().alias("now"))
+        return self._start("filter", timed, self._write_lines, trigger, "append")
 
     def start_user_clicks(self, trigger: dict = LIVE) -> StreamingQuery:
         """Count clicks per day, user and ad, and list users above the threshold."""
@@ -121,28 +141,78 @@ class AdMonitor:
 
     def start_click_trend(self, trigger: dict = LIVE) -> StreamingQuery:
         """Count clicks per minute and ad."""
-        counts = ads.minute_clicks(self._clean_stream(), self.minute_late_by)
+        in_time = self._clean_stream().where(F.col("reason").isNull())
+        counts = ads.minute_clicks(in_time, self.minute_late_by)
         return self._start("click_trend", ads.minute_trend(counts), self._write_trend, trigger)
 
     def start_all(self, lines: DataFrame, trigger: dict = LIVE) -> list[StreamingQuery]:
-        return [self.start_filter(lines, trigger), self.start_rejects(lines, trigger),
-                self.start_user_clicks(trigger), self.start_ad_stat(trigger),
-                self.start_province_top(trigger), self.start_click_trend(trigger)]
+        return [self.start_filter(lines, trigger), self.start_user_clicks(trigger),
+                self.start_ad_stat(trigger), self.start_province_top(trigger),
+                self.start_click_trend(trigger)]
 
     # One micro-batch of each query.
 
-    def _write_clean(self, clicks: DataFrame, batch_id: int) -> None:
-        # The folder is itself the source of streams, which would take rewritten files as new.
-        target = f"{self.path('clean')}/batch_id={batch_id}"
-        if not _is_complete(clicks.sparkSession, target):
-            listed = self._rows("ad_blacklist", BLACKLIST_SCHEMA)
-            ads.without_users(clicks, listed).write.mode("overwrite").parquet(target)
+    def _write_lines(self, lines: DataFrame, batch_id: int) -> None:
+        """Write rejects and clicks out of time, then publish the clean clicks as the last step."""
+        if _exists(self.spark, f"{self._clean_folder(batch_id)}/_SUCCESS"):
+            return
+        lines.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejects = ads.rejected_lines(lines).drop("now")
+            sinks.write_batch(rejects, self.path("rejects"), batch_id)
+            newest = self._newest_before(batch_id)
+            clicks = (ads.valid_clicks(lines)
+                      .withColumn("reason", self._out_of_time(newest)).drop("now"))
+            late = clicks.where(F.col("reason").isNotNull())
+            sinks.write_batch(late, self.path("out_of_time"), batch_id)
+            counted = clicks.where(F.coalesce("reason", F.lit("minute_closed")) == "minute_closed")
+            self._write_clean(counted, batch_id, newest)
+        finally:
+            lines.unpersist()
+
+    def _write_clean(self, clicks: DataFrame, batch_id: int, newest: Column | None = None) -> None:
+        """Drop listed users, set the clock, publish.
+
+        The folder is itself the source of streams, which would take a batch file by file while it
+        is written, and rewritten files as new. So it is written beside and moved in whole.
+        """
+        target, staged = self._clean_folder(batch_id), self.path(f"staged/batch_id={batch_id}")
+        if _exists(self.spark, f"{target}/_SUCCESS"):
+            return
+        listed = self._rows("ad_blacklist", BLACKLIST_SCHEMA)
+        ads.without_users(clicks, listed).write.mode("overwrite").parquet(staged)
+        written = self.spark.read.schema(CLEAN_SCHEMA).parquet(staged).agg(F.max("ts").alias("ts"))
+        clock = F.greatest("ts", F.lit(None).cast("timestamp") if newest is None else newest)
+        (written.select(clock.alias("newest")).write.mode("overwrite")
+         .parquet(self._clock_folder(batch_id)))
+        _move(self.spark, staged, target)
+
+    def _clean_folder(self, batch_id: int) -> str:
+        return f"{self.path('clean')}/batch_id={batch_id}"
+
+    def _clock_folder(self, batch_id: int) -> str:
+        return f"{self.path('clock')}/batch_id={batch_id}"
+
+    def _newest_before(self, batch_id: int) -> Column:
+        """The newest clean click before the batch; null if there is none."""
+        if batch_id == 0:
+            return F.lit(None).cast("timestamp")
+        clock = self.spark.read.schema(CLOCK_SCHEMA).parquet(self._clock_folder(batch_id - 1))
+        return clock.agg(F.max("newest")).scalar()
+
+    def _out_of_time(self, newest: Column) -> Column:
+        """Why a click is not counted in full.
+
+        The counts close a day (a minute) by what they have taken from `clean`, which is never more
+        than the filter had let through before. So they drop nothing that passes here.
+        """
+        return (F.when(F.col("ts") > F.col("now") + F.expr(f"INTERVAL {self.ahead_by}"), "ahead")
+                .when(ads.is_closed("day", newest, self.day_late_by), "day_closed")
+                .when(ads.is_closed("minute", newest, self.minute_late_by), "minute_closed"))
 
     def _write_user_clicks(self, counts: DataFrame, batch_id: int) -> None:
         sinks.write_batch(counts, self.path("ad_user_click_count"), batch_id, ["date"])
-        # Read back: running the stateful plan again for a second output would be wrong.
-        written = self._rows("ad_user_click_count", USER_CLICK_SCHEMA) \
-            .where(F.col("batch_id") == batch_id)
+        written = self._written("ad_user_click_count", USER_CLICK_SCHEMA, batch_id)
         listed = self._rows("ad_blacklist", BLACKLIST_SCHEMA) \
             .where(F.col("batch_id") < batch_id)
         users = ads.blacklisted_users(written, self.threshold)
@@ -158,9 +228,10 @@ class AdMonitor:
         earlier best and the batch are all there is to rank. Each day has two slots, written in
         turn; the one in force is never touched, and a replayed batch ignores its own first try.
         """
+        sinks.write_batch(counts, self.path("ad_province_click_count"), batch_id, ["date"])
+        counted = self._written("ad_province_click_count", PROVINCE_SCHEMA, batch_id)
         earlier = self._newest_top(self._top_rows().where(F.col("batch_id") < batch_id))
         slots = earlier.groupBy("date").agg((1 - F.max("slot")).alias("slot"))
-        counted = counts.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         rows = (earlier.drop("slot").join(counted.select("date").distinct(), "date", "left_semi")
                 .unionByName(counted))
         best = ads.province_top(sinks.latest(rows, ["date", "province", "ad_id"]), self.top_size)
@@ -179,11 +250,21 @@ class AdMonitor:
     def _write_trend(self, trend: DataFrame, batch_id: int) -> None:
         sinks.write_batch(trend, self.path("ad_click_trend"), batch_id, ["date"])
 
+    def _written(self, table: str, schema: str, batch_id: int) -> DataFrame:
+        """What a batch has just written, by date; only its own folders are listed.
+
+        A second output is read back from the first, as running the stateful plan twice would update
+        its state twice.
+        """
+        return (self.spark.read.schema(f"{schema}, batch_id BIGINT")
+                .option("basePath", self.path(table))
+                .parquet(f"{self.path(table)}/date=*/batch_id={batch_id}"))
+
     def _rows(self, table: str, schema: str) -> DataFrame:
         return sinks.read_batches(self.spark, self.path(table), schema)
 
     def _clean_stream(self) -> DataFrame:
-        return (self.spark.readStream.schema(f"{CLICK_SCHEMA}, batch_id BIGINT")
+        return (self.spark.readStream.schema(f"{CLEAN_SCHEMA}, batch_id BIGINT")
                 .parquet(self.path("clean")).drop("batch_id"))
 
     def _start(self, name: str, rows: DataFrame, write_batch, trigger: dict,
@@ -193,6 +274,22 @@ class AdMonitor:
                 .option("checkpointLocation", self.path(f"checkpoints/{name}")).start())
 
 
-def _is_complete(spark: SparkSession, folder: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+def _file_system(spark: SparkSession, path: str):
+    """The store of a path, by Spark's own client: PySpark has no call to look for or move a file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    store, path = _file_system(spark, path)
+    return store.exists(path)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder in one step, in place of what a broken move left."""
+    store, target_path = _file_system(spark, target)
+    _, source_path = _file_system(spark, source)
+    if store.exists(target_path):
+        store.delete(target_path, True)
+    if not store.rename(source_path, target_path):
+        raise OSError(f"cannot move {source} to {target}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.session import work_folder
@@ -25,12 +25,30 @@ def replay(spark: SparkSession, sf_dir: str, threshold: int) -> AdMonitor:
     root = work_folder(spark, "ad-replay")
     monitor = AdMonitor(spark, root, threshold, day_late_by=WHOLE_LOG, minute_late_by=WHOLE_LOG)
     monitor.create_tables()
+    for part in _parts(spark, sf_dir):
+        _filter(monitor, part)
+        monitor.start_user_clicks(CATCH_UP).awaitTermination()
+    return monitor
+
+
+def replay_late(spark: SparkSession, sf_dir: str) -> AdMonitor:
+    """Filter the second and the third part, then the first, with the usual lateness."""
+    monitor = AdMonitor(spark, work_folder(spark, "ad-late")).create_tables()
+    first, second, third = _parts(spark, sf_dir)
+    for part in (second, third, first):
+        _filter(monitor, part)
+    return monitor
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     lines = star_schema.ad_lines(spark, sf_dir, broken_errors=True)
     first, second = (F.lit(day).cast("date") for day in PART_STARTS)
     day = F.col("logged_on")
-    folder = f"{root}/lines"
-    for part in (day < first, (day >= first) & (day < second), day >= second):
-        lines.where(part).select("value").write.mode("append").text(folder)
-        monitor.start_filter(text_lines(spark, folder), CATCH_UP).awaitTermination()
-        monitor.start_user_clicks(CATCH_UP).awaitTermination()
-    return monitor
+    return [lines.where(part).select("value")
+            for part in (day < first, (day >= first) & (day < second), day >= second)]
+
+
+def _filter(monitor: AdMonitor, lines: DataFrame) -> None:
+    folder = monitor.path("lines")
+    lines.write.mode("append").text(folder)
+    monitor.start_filter(text_lines(monitor.spark, folder), CATCH_UP).awaitTermination()

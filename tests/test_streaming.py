@@ -4,13 +4,14 @@ import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from clickweave.operators import ads
 from clickweave.session import work_folder
 from clickweave.sources import star_schema
 from clickweave.sources.streams import kafka_lines, text_lines
+from clickweave.streaming import ad_monitor
 from clickweave.streaming.ad_monitor import CATCH_UP, AdMonitor
 from tests.tables import CLICK_SCHEMA, tuples
 
@@ -40,9 +41,9 @@ def run(spark, root, *queries, **options):
     """A new monitor over the same folder, as after a restart, brought up to date."""
     monitor = AdMonitor(spark, root, **options).create_tables()
     for query in queries:
-        if query in ("filter", "rejects"):
-            start = getattr(monitor, f"start_{query}")
-            start(text_lines(spark, f"{root}/lines"), CATCH_UP).awaitTermination()
+        if query == "filter":
+            lines = text_lines(spark, f"{root}/lines")
+            monitor.start_filter(lines, CATCH_UP).awaitTermination()
         else:
             getattr(monitor, f"start_{query}")(CATCH_UP).awaitTermination()
     return monitor
@@ -50,10 +51,10 @@ def run(spark, root, *queries, **options):
 
 def test_blacklist_acts_from_the_next_batch(spark, root):
     arrive(spark, root, *[line(1, 5)] * 3, line(2, 5), "no click")
-    monitor = run(spark, root, "filter", "user_clicks", "rejects", threshold=2)
+    monitor = run(spark, root, "filter", "user_clicks", threshold=2)
     assert tuples(monitor.blacklist()) == [(1,)]
     assert monitor.clean().count() == 4
-    assert tuples(spark.read.parquet(monitor.path("rejects"))) == [("no click",)]
+    assert tuples(monitor.rejects()) == [("no click",)]
 
     arrive(spark, root, *[line(1, 6)] * 4, line(2, 5), line(2, 5))
     monitor = run(spark, root, "filter", "user_clicks", threshold=2)
@@ -85,6 +86,62 @@ def test_late_clicks_count_until_their_day_is_closed(spark, root):
         == [("20240110", 2), ("20240111", 2), ("20240112", 2)]
 
 
+def test_a_click_from_the_future_is_set_aside_and_counting_goes_on(spark, root):
+    arrive(spark, root, line(1, 5), "100000000000000 p c 1 5", "no click")
+    run(spark, root, "filter", "user_clicks", "ad_stat", threshold=2)
+    for _ in range(3):
+        arrive(spark, root, line(1, 5), line(2, 5))
+        monitor = run(spark, root, "filter", "user_clicks", "ad_stat", threshold=2)
+    assert tuples(monitor.out_of_time(), "user_id", "reason") == [(1, "ahead")]
+    # User 1 is listed after three clicks, so the fourth is not counted.
+    assert tuples(monitor.ad_stat(), "click_count") == [(6,)]
+    assert tuples(monitor.blacklist()) == [(1,), (2,)]
+    # Every line is somewhere: 9 in all, one of a listed user.
+    parts = monitor.clean(), monitor.rejects(), monitor.out_of_time()
+    assert [part.count() for part in parts] == [6, 1, 1]
+
+
+def test_clicks_of_a_closed_day_or_minute_are_set_aside(spark, root):
+    queries = "filter", "ad_stat", "click_trend"
+    for minutes in (0, 90, 180):
+        arrive(spark, root, line(1, 5, minutes))
+        run(spark, root, *queries)
+    # An hour behind the newest minute is closed, a minute later is not.
+    arrive(spark, root, line(2, 5, 120), line(3, 5, 121), line(4, 5, -24 * 60 * 2))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.out_of_time(), "user_id", "reason") \
+        == [(2, "minute_closed"), (4, "day_closed")]
+    assert tuples(monitor.clean(), "user_id") == [(1,)] * 3 + [(2,), (3,)]
+    assert tuples(monitor.ad_stat(), "click_count") == [(5,)]
+    trend = monitor.click_trend().agg(F.sum("click_count")).first()[0]
+    assert trend + 1 == monitor.clean().count()
+
+
+def test_a_batch_updates_its_state_once(spark, root):
+    arrive(spark, root, line(1, 5), line(1, 6))
+    monitor = run(spark, root, "filter")
+    query = monitor.start_province_top(CATCH_UP)
+    query.awaitTermination()
+    assert [p["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress
+            if p["numInputRows"]] == [2]
+
+
+def test_a_batch_that_failed_before_its_publishing_counts_once(spark, root, monkeypatch):
+    arrive(spark, root, line(1, 5), "no click")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(ad_monitor, "_move", fail)
+        with pytest.raises(StreamingQueryException):
+            run(spark, root, "filter")
+    assert run(spark, root, "ad_stat").clean().count() == 0
+    monitor = run(spark, root, "filter", "ad_stat")
+    assert tuples(monitor.ad_stat(), "click_count") == [(1,)]
+    assert tuples(monitor.rejects()) == [("no click",)]
+
+
 def test_best_ads_grow_batch_by_batch(spark, root):
     batches = [
         [line(1, ad) for ad in (1, 1, 1, 2, 2, 3, 4)],
@@ -150,9 +207,7 @@ def test_streams_agree_with_batches(spark, root, sf_dir):
     monitor = AdMonitor(spark, root, day_late_by=late, minute_late_by=late).create_tables()
     source = text_lines(spark, f"{root}/lines", max_files=1)
     queries = monitor.start_all(source, CATCH_UP)
-    for query in queries[:2]:
-        query.awaitTermination()
-    for query in queries[2:]:
+    for query in queries:
         query.awaitTermination()
     for start in (monitor.start_user_clicks, monitor.start_ad_stat, monitor.start_province_top,
                   monitor.start_click_trend):
