@@ -13,6 +13,7 @@ them.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import unicodedata
 from collections.abc import Callable
@@ -195,10 +196,15 @@ class Tokenizer:
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(text: str) -> Tokenizer:
-    """One for each Python worker: its kept pieces serve all tasks."""
+    """One for each task: its kept pieces serve all batches."""
     return Tokenizer(text)
 
 
+def _forget() -> None:
+    _tokenizer.cache_clear()
+    gc.collect()
+
+
 def encode_decode(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
     """Every row of `docs` with `ids`, the tokens of its text, and `decoded`, the text of these.
 
@@ -218,7 +224,8 @@ def encode_decode(docs: DataFrame, path: str, keep: list[str] | None = None) ->
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                 pa.array([tokenizer.decode(row) for row in rows], pa.string())]
 
-    return map_rows(docs, {"text": docs["text"]}, "ids ARRAY<INT>, decoded STRING", outcome, keep)
+    return map_rows(docs, {"text": docs["text"]}, "ids ARRAY<INT>, decoded STRING", outcome, keep,
+                    _forget)
 
 
 def digests(encoded: DataFrame) -> dict:

@@ -14,8 +14,8 @@ from clickweave.session import work_folder
 
 NULL_ID = -(2**63)
 
-BATCH_BYTES = 1 << 22
-ARROW_BYTES = 1 << 24
+BATCH_BYTES = 1 << 21
+ARROW_BYTES = 1 << 23
 
 U64 = np.uint64
 
@@ -59,10 +59,12 @@ def bound_batches(spark: SparkSession) -> None:
 
 def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
              outcome: Callable[[pa.RecordBatch], list[pa.Array]],
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None,
+             done: Callable[[], None] = lambda: None) -> DataFrame:
     """Every row of `df` with columns that Python finds from the Arrow batches of `columns`.
 
-    `keep` names the columns of `df` to return, all of them by default.
+    `keep` names the columns of `df` to return, all of them by default. `done` is called at the end
+    of each task, whose Python worker goes on to others.
     """
     bound_batches(df.sparkSession)
     inner = df.select(whole_row(df, keep), *[c.alias(f"in_{name}") for name, c in columns.items()])
@@ -71,12 +73,15 @@ def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
     given_names, names = list(columns), ["row", *added.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            # Python holds what it makes of so many bytes at a time, or of one row.
-            rows = max(1, whole.num_rows * BATCH_BYTES // max(1, whole.nbytes))
-            for batch in (whole.slice(i, rows) for i in range(0, whole.num_rows, rows)):
-                given = pa.RecordBatch.from_arrays(batch.columns[1:], given_names)
-                yield pa.RecordBatch.from_arrays([batch.column(0), *outcome(given)], names)
+        try:
+            for whole in batches:
+                # Python holds what it makes of so many bytes at a time, or of one row.
+                rows = max(1, whole.num_rows * BATCH_BYTES // max(1, whole.nbytes))
+                for batch in (whole.slice(i, rows) for i in range(0, whole.num_rows, rows)):
+                    given = pa.RecordBatch.from_arrays(batch.columns[1:], given_names)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), *outcome(given)], names)
+        finally:
+            done()
 
     return unpack(inner.mapInArrow(run, out), *added.names)
 

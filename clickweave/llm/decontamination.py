@@ -28,7 +28,7 @@ from clickweave.llm.common import U64, Hashes, Words, map_rows, parts, utf8, win
 
 WINDOW, GRAM = 13, 7
 BLOCK_WORDS = 2_000_000
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 # The place of a gram within the low bits of its sort key.
 _PLACE = U64((1 << 26) - 1)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import U64, Hashes, Words, bound_batches, map_rows, utf8
+from clickweave.llm.common import BATCH_BYTES, U64, Hashes, Words, bound_batches, map_rows, utf8
 
 # At most about so many labelled documents are learned from, chosen by a hash of their id.
 LEARN_DOCS = 20_000
@@ -240,7 +240,7 @@ def learn(labelled: DataFrame, learn_docs: int = LEARN_DOCS) -> Model:
 
     def count(batches):
         for batch in batches:
-            step = max(1, batch.num_rows * (1 << 22) // max(1, batch.nbytes))
+            step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
             for part in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
                 data, starts = utf8(part.column("text"))
                 names = part.column("lang").to_pylist()
