@@ -77,6 +77,14 @@ def test_session_job(spark, folders):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_sample_size_and_partitions_are_arguments(spark, folders):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    job(folders, "session", "--users", f"{folders}/users", "--sample-size", "24",
+        "--shuffle-partitions", before)
+    # The parts of the hours are rounded down.
+    assert 0 < result(spark, folders, "session_extract").count() <= 24
+
+
 def test_page_job(spark, folders):
     job(folders, "page")
     text = result(spark, folders, "page_split_convert_rate").first()["convertRate"]
