@@ -176,9 +176,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int =
     """
     out = docs
     found = []
-    for number, items in enumerate(_blocks(benchmark, block_words)):
+    blocks = _blocks(benchmark, block_words)
+    for number, items in enumerate(blocks):
         hits = f"hits_{number}"
-        own = keep and [*keep, *(name for name in (*found, "text") if number and name not in keep)]
+        # The blocks to come read the text, whether or not it is returned.
+        read = [*found, "text"] if number + 1 < len(blocks) else found
+        own = keep and [*keep, *(name for name in read if name not in keep)]
         out = map_rows(out, {"text": out["text"]},
                        f"n_words LONG, {hits} ARRAY<STRUCT<item_id: STRING, start: LONG, end: LONG>>",
                        _find(items), own)
@@ -204,8 +207,7 @@ def _summed(out: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The digest of `find_contamination` per document."""
-    found = find_contamination(docs.select("doc_id", "text"), benchmark, block_words,
-                               ["doc_id", "text"] if block_words < BLOCK_WORDS else ["doc_id"])
+    found = find_contamination(docs.select("doc_id", "text"), benchmark, block_words, ["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         "contaminated")

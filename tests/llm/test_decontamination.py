@@ -66,6 +66,14 @@ def test_a_benchmark_in_blocks(spark):
     check(spark, *sample(2), block_words=200)
 
 
+def test_the_query_itself_takes_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 200)
+    monkeypatch.setattr(decontamination.report, "__defaults__", (200,))
+    docs, items = sample(4)
+    assert len(decontamination._blocks(spark.createDataFrame(items, ITEMS), 200)) > 2
+    check(spark, docs, items)
+
+
 def test_empty_tables(spark):
     docs, items = sample(3)
     check(spark, docs[:9], [])
