@@ -224,7 +224,8 @@ def _judged(dealt: DataFrame) -> DataFrame:
     Of rows equal in digit and surroundings all but the first are covered; the first is open if its
     digit is shared by a row with other surroundings.
     """
-    order = Window.partitionBy("k").orderBy("c", "doc", "tag", "place")
+    # The kind does not order rows: those of one text may be of different kinds.
+    order = Window.partitionBy("k").orderBy("c", "doc", F.shiftright("tag", 2), "place")
     group = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     kind = F.col("tag") % 4
     covered = (kind == COVERED) | F.coalesce(F.col("c") == F.col("before"), F.lit(False))

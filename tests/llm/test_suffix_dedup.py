@@ -68,6 +68,23 @@ def test_hot_passage_with_other_neighbours(spark):
     check(spark, [(i, words(rng, 12, pool) + passage + words(rng, 12, pool)) for i in range(150)])
 
 
+def test_passage_repeated_in_one_document_over_slices(spark, monkeypatch):
+    rng = random.Random(11)
+    pool = [f"w{i}" for i in range(500)]
+    passages = [words(rng, 40, pool) for _ in range(6)]
+
+    def spoilt(passage):
+        cut = rng.randint(20, len(passage) - 20)
+        return rng.choice([passage, passage[:cut] + words(rng, 2, pool) + passage[cut:],
+                           passage[cut // 3:], passage[:-cut // 3]])
+
+    rows = [(i, "".join(words(rng, 3, pool) + spoilt(rng.choice(passages)) for _ in range(12)))
+            for i in range(8)]
+    for size in (3, 8):
+        monkeypatch.setattr(suffix_dedup, "ROWS", size)
+        check(spark, rows)
+
+
 def test_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.report(df).collect() == []
