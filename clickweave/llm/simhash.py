@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import checkpointed, map_rows
+from clickweave.llm.common import checkpointed, map_rows, unpack, whole_row
 
 SHINGLE = 3
 SEED = 42
@@ -178,6 +178,13 @@ def components(pairs: DataFrame) -> DataFrame:
     return pairs
 
 
+def _rooted(nodes: DataFrame, bucket: int) -> DataFrame:
+    """The nodes (fp, first) with the least fingerprint of their component as `root`."""
+    root = components(links(nodes, bucket))
+    return nodes.join(root, nodes["fp"] == root["u"], "left").select(
+        "fp", "first", F.coalesce("v", "fp").alias("root"))
+
+
 def link_documents(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """The rows (doc_id, fingerprint) with component_id: the least doc_id that links reach.
 
@@ -186,9 +193,7 @@ def link_documents(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     prints = checkpointed(prints)
     nodes = checkpointed(prints.groupBy(F.col("fingerprint").alias("fp")).agg(
         F.min("doc_id").alias("first")))
-    root = components(links(nodes, bucket))
-    rooted = nodes.join(root, nodes["fp"] == root["u"], "left").select(
-        "fp", "first", F.coalesce("v", "fp").alias("root"))
+    rooted = _rooted(nodes, bucket)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("fingerprint"), "component_id")
     return prints.join(named, "fingerprint")
@@ -206,13 +211,31 @@ def report(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
                          .alias("fingerprint"), "component_id")
 
 
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """One row of `docs` for each component: that of the least doc_id.
+def _row_key(docs: DataFrame) -> list[Column]:
+    """128 bits as `a` and `b` that tell rows apart unless all of their columns are equal."""
+    others = [docs[f"`{n}`"] for n in docs.columns if n not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    return [F.xxhash64(F.lit(name), docs["doc_id"], docs["text"], rest).alias(name)
+            for name in ("a", "b")]
+
+
+def without_near_copies(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """One row of `docs` for each component: one of the least doc_id.
 
-    Rows with a null doc_id stay where their component has none but null ids.
+    Null ids come last, so a component of none but null ids keeps one row too. Of rows with the same
+    id the least by a hash of the row stays, and one of rows equal in every column.
     """
-    linked = report(docs.select("doc_id", "text"))
-    keep = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.alias("d").join(keep.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")),
-                                "left_semi")
-    return kept.select(*docs.columns)
+    key = _row_key(docs)
+    prints = fingerprints(docs.select("doc_id", "text", *key), ["doc_id", "a", "b"])
+    rows = prints.groupBy("fingerprint", "doc_id", "a", "b").agg(F.count("*").alias("n"))
+    first = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "a", "b", "n")
+    nodes = checkpointed(rows.groupBy(F.col("fingerprint").alias("fp")).agg(
+        F.min(first).alias("first")))
+    keep = _rooted(nodes, bucket).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    keyed = docs.select(whole_row(docs), *key)
+    alone = keyed.join(keep.where("n = 1"), ["a", "b"], "left_semi").select("row")
+    # By a struct rather than by the join's keys: equal rows then merge before they are dealt, so
+    # AQE may split the join of a row that is most of the table.
+    equal = keyed.join(keep.where("n > 1"), ["a", "b"], "left_semi").groupBy(
+        F.struct("a", "b").alias("key")).agg(F.first("row").alias("row")).select("row")
+    return unpack(alone.union(equal))

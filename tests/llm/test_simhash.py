@@ -69,6 +69,43 @@ def test_documents(spark):
     assert {r.doc_id for r in kept.collect()} == firsts
 
 
+def test_one_row_of_each_component_stays(spark):
+    rng = random.Random(8)
+    pool = [f"w{i}" for i in range(300)]
+    a, b, c, d, e = (" ".join(rng.choice(pool) for _ in range(200)) for _ in range(5))
+    rows = [(1, a, 1, "x"), (1, a, 1, "x"), (1, a, 1, "x"),  # equal rows
+            (2, b, 1, "x"), (2, b, 2, "x"), (2, b, 1, None),  # equal in id and text only
+            (0, c, 1, "x"), (0, d, 1, "x"), (-5, d, 1, "x"),  # an id of two texts, once the least
+            (None, e, 1, "x"), (None, e, 1, "x"), (None, e, 2, "y"),  # none but null ids
+            (None, a, 1, "x"), (None, b, 3, "z"), (None, None, 1, "x"), (None, "", 1, "x")]
+    df = spark.createDataFrame(rows, DOCS).repartition(4)
+    kept = [tuple(r) for r in simhash.without_near_copies(df).collect()]
+    assert sorted(((i, t or "") for i, t, *_ in kept), key=str) == sorted(
+        [(1, a), (2, b), (0, c), (-5, d), (None, e), (None, "")], key=str)
+    assert set(kept) <= set(rows)
+    # Rows of other components change nothing.
+    assert simhash.without_near_copies(df.where("doc_id > 0")).count() == 2
+    shuffled = simhash.without_near_copies(spark.createDataFrame(rows[::-1], DOCS).repartition(2))
+    assert sorted(map(tuple, shuffled.collect()), key=str) == sorted(kept, key=str)
+    assert simhash.without_near_copies(df.where("doc_id > 9")).collect() == []
+
+
+def test_each_component_of_random_rows_keeps_one(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["a", "b", "c", "d e"]) for _ in range(rng.randint(1, 5)))
+             for _ in range(60)]
+    rows = [(rng.choice([None, *range(12)]), rng.choice(texts)) for _ in range(200)]
+    df = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], DOCS).repartition(3)
+    kept = simhash.without_near_copies(df).select("doc_id", "text").collect()
+    root = brute_components({brute_print(t) for _, t in rows})
+    least = {}
+    for d, t in rows:
+        r = root[brute_print(t)]
+        least[r] = min((d is None, d or 0), least.get(r, (True, 0)))
+    got = sorted((root[brute_print(t)], (d is None, d or 0)) for d, t in kept)
+    assert got == sorted(least.items())
+
+
 def _signed(p):
     return p - (1 << 64) if p >> 63 else p
 
