@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -52,11 +55,30 @@ def unpack(df: DataFrame, *added: str) -> DataFrame:
 def bound_batches(spark: SparkSession) -> None:
     """Arrow batches of the session hold ARROW_BYTES at most, so Python workers do as well."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int(str(spark.conf.get(name)).removesuffix("b"))
+    number, unit = re.fullmatch(r"\s*(-?\d+)\s*([kmgtp]?)b?\s*", str(spark.conf.get(name)).lower()).groups()
+    now = int(number) << 10 * " kmgtp".index(unit or " ")
     if not 0 < now <= ARROW_BYTES:
         spark.conf.set(name, f"{ARROW_BYTES}b")
 
 
+def freeing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that hands its memory back at the end.
+
+    A Python worker goes on to other tasks or waits; neither Arrow nor the C library would return
+    what the largest batch took.
+    """
+    def freed(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return freed
+
+
 def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
              outcome: Callable[[pa.RecordBatch], list[pa.Array]],
              keep: list[str] | None = None,
@@ -72,6 +94,7 @@ def map_rows(df: DataFrame, columns: dict[str, Column], schema: str,
     out = T.StructType([inner.schema["row"], *added.fields])
     given_names, names = list(columns), ["row", *added.names]
 
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             for whole in batches:
@@ -134,9 +157,11 @@ class Words:
             return none, none, none, np.zeros(0, U64)
         text = np.searchsorted(starts, begin, "right") - 1
         # A word's bytes are the word bytes up to the next word.
-        count = np.concatenate((np.cumsum(inside)[begin[1:] - 1], [np.count_nonzero(inside)]))
-        length = np.diff(count, prepend=0)
-        place = np.arange(count[-1]) - np.repeat(count - length, length)
+        kind = np.int32 if len(data) < 2**31 else np.int64
+        count = np.append(np.cumsum(inside, dtype=kind)[begin[1:] - 1],
+                          kind(np.count_nonzero(inside)))
+        length = np.diff(count, prepend=kind(0))
+        place = np.arange(count[-1], dtype=kind) - np.repeat(count - length, length)
         powers = np.full(int(length.max()), 0x9E3779B97F4A7C15, U64)
         powers[0] = 1
         value = np.add.reduceat(self.symbols[data[inside]] * np.cumprod(powers)[place],

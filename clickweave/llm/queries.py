@@ -10,11 +10,14 @@ from clickweave.llm import (
     bpe,
     decontamination,
     html_text,
+    importance,
     language,
+    lexical_search,
     quality,
     sharding,
     simhash,
     suffix_dedup,
+    toxicity,
     url_filter,
     warc,
 )
@@ -47,8 +50,12 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": _over(quality.report, "documents", "labels"),
         "op9_simhash": _over(simhash.report, "documents"),
         "op10_html_text": _over(html_text.report, "pages"),
+        "op11_importance": _over(importance.report, "documents", "benchmark"),
+        "op12_lexical_search": _over(lexical_search.report, "documents", "benchmark"),
+        "op13_toxicity": _over(toxicity.report, "documents", "labels"),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": url_filter.ORACLE_SQL}
+    return {"op5_url_filter": url_filter.ORACLE_SQL,
+            "op12_lexical_search": lexical_search.ORACLE_SQL}

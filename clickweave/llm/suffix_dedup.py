@@ -37,6 +37,7 @@ from clickweave.llm.common import (
     U64,
     Hashes,
     bound_batches,
+    freeing,
     id_key,
     parts,
     unpack,
@@ -155,6 +156,7 @@ def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _first_pass(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, copy = _ids(batch)
@@ -181,6 +183,7 @@ def _next_pass(length: int, block: int) -> Callable[[Iterator[pa.RecordBatch]],
     """The windows still open, as rows for blocks of `block` offsets from their anchors."""
     width = length - max(1, 2 * length // 5) + 1
 
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, copy = _ids(batch)
@@ -264,6 +267,7 @@ def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut(length: int, as_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    @freeing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, starts = utf8(batch.column("row").field("text"))
