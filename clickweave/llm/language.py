@@ -6,7 +6,9 @@ narrows the languages to those that use the script. Viterbi then labels the word
 to another language costs SWITCH, so a text falls into few spans. The language with most letters in
 its spans is the prediction, its share of the letters the score.
 
-Counts are kept for hashed n-grams, in a table whose size depends on the number of languages only.
+Every labelled language is learned, each from about as many documents: a rare one is not lost among
+the others. Counts are kept for hashed n-grams, in a table of bounded size: the more languages, the
+fewer hashes.
 """
 
 from __future__ import annotations
@@ -18,18 +20,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import BATCH_BYTES, U64, Hashes, Words, bound_batches, map_rows, utf8
+from clickweave.llm.common import (
+    BATCH_BYTES,
+    U64,
+    Hashes,
+    Words,
+    bound_batches,
+    freeing,
+    map_rows,
+    parts,
+    utf8,
+)
 
 # At most about so many labelled documents are learned from, chosen by a hash of their id.
 LEARN_DOCS = 20_000
-# Languages beyond these, the rarest ones, are not learned: the table sent to all tasks is bounded.
-MAX_LANGUAGES = 256
-GRAM_BITS = 15
+# Bits of a hashed n-gram at most, and entries of the table sent to all tasks (but for a few bits each).
+GRAM_BITS, TABLE_ENTRIES, LEAST_BITS = 15, 1 << 24, 8
 SWITCH = 12.0
 # A word says at most so much against a language.
 MOST = 8.0
 # A language is a candidate in a script if it has this share of its words there.
 SCRIPT_SHARE = 0.01
+# Bytes of text for which paths are kept at a time, times the number of languages.
+PATH_BYTES = 1 << 24
 # So many of the longest texts are followed by a plain loop once the others have ended.
 FEW = 8
 
@@ -62,9 +75,17 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 IS_WORD, FOLD, SCRIPT = _tables()
 WORDS = Words(IS_WORD, FOLD, HASHES)
-GRAMS = 1 << GRAM_BITS
-# A row of counts: hashed 3-grams, hashed words, scripts of words.
-COLUMNS = 2 * GRAMS + len(SCRIPTS)
+
+
+def gram_bits(languages: int) -> int:
+    """Bits of a hashed n-gram, of which a row of counts has two kinds, where so many rows are."""
+    fit = (TABLE_ENTRIES // max(1, 2 * languages)).bit_length() - 1
+    return max(LEAST_BITS, min(GRAM_BITS, fit))
+
+
+def columns(bits: int) -> int:
+    """Of a row of counts: hashed 3-grams, hashed words, scripts of words."""
+    return (2 << bits) + len(SCRIPTS)
 
 
 @dataclass
@@ -80,7 +101,7 @@ class _Text:
     script: np.ndarray
 
 
-def _read(data: np.ndarray, starts: np.ndarray) -> _Text:
+def _read(data: np.ndarray, starts: np.ndarray, bits: int = GRAM_BITS) -> _Text:
     text, begin, end, value = WORDS(data, starts)
     unique, at, kind = np.unique(value, return_index=True, return_inverse=True)
     # The letters of each different word between spaces, all in a row.
@@ -93,8 +114,8 @@ def _read(data: np.ndarray, starts: np.ndarray) -> _Text:
     spaced[np.arange(total) + word + 1] = FOLD[data[place]]
     grams = HASHES.windows(HASHES.symbols[spaced], 3)[0] if total else np.zeros(0, U64)
     # A word of n bytes between spaces has n 3-grams; those across two words are passed over.
-    features = (grams[np.arange(total) + word] >> U64(64 - GRAM_BITS)).astype(np.int64)
-    whole = (unique >> U64(64 - GRAM_BITS)).astype(np.int64) + GRAMS
+    features = (grams[np.arange(total) + word] >> U64(64 - bits)).astype(np.int64)
+    whole = (unique >> U64(64 - bits)).astype(np.int64) + (1 << bits)
     features = np.insert(features, offset, whole) if len(at) else features
     return _Text(text, begin, end, kind, features, offset + np.arange(len(at)),
                  SCRIPT[data[begin[at]]])
@@ -110,6 +131,7 @@ class Model:
     # Log-probabilities by feature and language, and whether a language is a candidate in a script.
     scores: np.ndarray
     candidates: np.ndarray
+    bits: int = GRAM_BITS
 
     def word_scores(self, words: _Text) -> np.ndarray:
         """For each different word and language, at most 0 and at least -MOST."""
@@ -186,10 +208,17 @@ class Model:
         return np.array(now)
 
     def predict(self, column: pa.Array) -> list[pa.Array]:
+        """lang_pred, score and spans of all texts, of so many at a time as memory holds paths for."""
+        _, starts = utf8(column)
+        cut = parts(starts, PATH_BYTES // max(1, len(self.languages)))
+        found = [self._predict(column.slice(a, b - a)) for a, b in cut] or [self._predict(column)]
+        return [pa.concat_arrays(arrays) for arrays in zip(*found, strict=True)]
+
+    def _predict(self, column: pa.Array) -> list[pa.Array]:
         data, starts = utf8(column)
         texts = len(column)
         name, score, spans = [UNKNOWN] * texts, np.zeros(texts), [[] for _ in range(texts)]
-        words = _read(data, starts)
+        words = _read(data, starts, self.bits)
         if len(words.text) and self.languages:
             label = self.label(words, texts).astype(np.int64)
             n_lang = len(self.languages)
@@ -224,52 +253,72 @@ _SPANS = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end
 def learn(labelled: DataFrame, learn_docs: int = LEARN_DOCS) -> Model:
     """A model from rows with doc_id, text and lang; rows without text or lang are passed over.
 
-    Learns from about `learn_docs` of them, chosen by a hash of doc_id. Counts are summed in the
-    cluster; the driver gets at most COLUMNS counts for each of MAX_LANGUAGES languages.
+    Learns from about `learn_docs` of them, an equal quota for each language, chosen by a hash of
+    doc_id; what a rare language leaves of its quota goes to the others. Counts are summed in the
+    cluster; the driver gets a number of documents for each language, and the counts, of which there
+    are about TABLE_ENTRIES at most.
     """
     rows = labelled.select(labelled["doc_id"].cast("string").alias("id"), labelled["text"],
                            labelled["lang"]).where("text IS NOT NULL AND lang IS NOT NULL")
-    number = rows.count()
-    if number > learn_docs:
-        scale = 1_000_000
-        rows = rows.where(F.pmod(F.xxhash64(F.lit("learn"), "id"), F.lit(scale))
-                          < F.lit(scale * learn_docs // number))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    languages = sorted(r.lang for r in common.collect())
-    rows = rows.where(F.col("lang").isin(languages))
-
+    session = labelled.sparkSession
+    number = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(number)
+    bits = gram_bits(len(languages))
+    scale = 1_000_000
+    bounds = session.createDataFrame(
+        [(lang, scale * most // number[lang]) for lang, most in _quotas(number, learn_docs).items()],
+        "lang STRING, bound LONG")
+    part = F.pmod(F.xxhash64(F.lit("learn"), "id"), F.lit(scale))
+    # A quota below a millionth still has a chance; a null id hashes like a text of none.
+    rows = rows.join(F.broadcast(bounds), "lang").where(part < F.greatest("bound", F.lit(1)))
+
+    @freeing
     def count(batches):
         for batch in batches:
             step = max(1, batch.num_rows * BATCH_BYTES // max(1, batch.nbytes))
-            for part in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
-                data, starts = utf8(part.column("text"))
-                names = part.column("lang").to_pylist()
+            for piece in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
+                data, starts = utf8(piece.column("text"))
+                names = piece.column("lang").to_pylist()
                 known = sorted(set(names))
                 lang = np.array([known.index(n) for n in names], np.int64)
-                words = _read(data, starts)
+                words = _read(data, starts, bits)
                 if not len(words.text):
                     continue
                 kinds = len(words.first)
                 for i, name in enumerate(known):
                     often = np.bincount(words.kind[lang[words.text] == i], minlength=kinds)
                     size = np.diff(np.append(words.first, len(words.features)))
-                    table = np.bincount(words.features, np.repeat(often, size), COLUMNS)
-                    table += np.bincount(words.script + 2 * GRAMS, often, COLUMNS)
+                    table = np.bincount(words.features, np.repeat(often, size), columns(bits))
+                    table += np.bincount(words.script + (2 << bits), often, columns(bits))
                     at = np.flatnonzero(table)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)),
                          pa.array(table[at].astype(np.int64))], ["lang", "feature", "n"])
 
-    bound_batches(labelled.sparkSession)
+    bound_batches(session)
     counted = rows.select("text", "lang").mapInArrow(count, "lang STRING, feature INT, n LONG")
-    table = np.zeros((COLUMNS, len(languages)))
-    for lang, feature, n in counted.groupBy("lang", "feature").agg(F.sum("n")).collect():
-        table[feature, languages.index(lang)] = n
-    parts = [table[:GRAMS], table[GRAMS:2 * GRAMS]]
-    scores = [np.log((p + 0.5) / (p.sum(0) + 0.5 * (np.count_nonzero(p.sum(1)) + 1))) for p in parts]
-    scripts = table[2 * GRAMS:]
+    # Columns rather than rows in Python, as there may be millions.
+    sums = counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((columns(bits), len(languages)))
+    place = {lang: i for i, lang in enumerate(languages)}
+    for batch in sums.to_batches():
+        lang = np.array([place[name] for name in batch.column("lang").to_pylist()], np.int64)
+        table[batch.column("feature").to_numpy(), lang] = batch.column("n").to_numpy()
+    grams = 1 << bits
+    kinds = [table[:grams], table[grams:2 * grams]]
+    scores = [np.log((p + 0.5) / (p.sum(0) + 0.5 * (np.count_nonzero(p.sum(1)) + 1))) for p in kinds]
+    scripts = table[2 * grams:]
     return Model(languages, np.concatenate(scores).astype(np.float32),
-                 scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1))
+                 scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(0), 1), bits)
+
+
+def _quotas(number: dict[str, int], total: int) -> dict[str, int]:
+    """So many of each that they sum up to `total` at most, the largest ones cut to an equal number."""
+    left, out = total, {}
+    for i, (name, n) in enumerate(sorted(number.items(), key=lambda item: item[1])):
+        out[name] = min(n, max(1, left // (len(number) - i)))
+        left -= out[name]
+    return out
 
 
 def held_out(doc_id: Column) -> Column:

@@ -1,6 +1,7 @@
 """Uniform shuffle of rows into shards of exact sizes, with built-in functions only.
 
-1. Rows are dealt to partitions by a hash; one count per partition is all that is gathered.
+1. Rows are dealt to partitions by a hash; one count per partition is all that is gathered. Of a row
+   that is there very often the copies are dealt by the part of the input they stand in as well.
 2. How many rows of each partition go to each shard is drawn from the hypergeometric law: a shard
    draws from what the partitions before left of its size. The partitions are drawn in two levels,
    first groups of them, then each group's own, so that no row of the plan holds more than about
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 SHARDS, SEED = 16, 7
 # Partitions of step 1 for each shuffle partition: small ones even out.
 FINER = 8
-ROUNDS, WALK = 4, 64
+ROUNDS, WALK = 4, 8
+# Copies of a row beyond which they are dealt apart, and keys of such rows sent to all tasks at most.
+HEAVY, BROADCAST_KEYS = 10_000, 1_000_000
 # A draw is sought this many standard deviations about the mode, and so many counts.
 REACH = 12.0
 
@@ -154,11 +157,15 @@ def permuted(place: Column, size: Column, *keys: Column) -> Column:
 
     columns = F.ceil(F.sqrt(size.cast("double")))
     grid = F.struct(F.ceil(size / columns).alias("rows"), columns.alias("columns"))
-    # The grid has few places too many: the walk leaves them at once, and always does within WALK
-    # steps where there are no more than WALK of them.
-    return let(grid, lambda g: F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALK)), place, lambda x, step: F.when(
-            (step == 1) | (x >= size), once(x, g["rows"], g["columns"])).otherwise(x)))
+    # The walk leaves the places that the grid has too many at once, as a rule, and always does
+    # after so many steps as they are: it comes to each of them once at most.
+    def walk(x: Column, steps: Column, g: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(1).cast("long"), steps), x, lambda y, step: F.when(
+            y >= size, once(y, g["rows"], g["columns"])).otherwise(y))
+
+    return let(grid, lambda g: let(
+        walk(once(place, g["rows"], g["columns"]), _long(WALK), g), lambda x: F.when(
+            x < size, x).otherwise(walk(x, g["rows"] * g["columns"] - size + 1, g))))
 
 
 def shuffle_to_shards(docs: DataFrame, by: list[str], shards: int = SHARDS,
@@ -167,21 +174,31 @@ def shuffle_to_shards(docs: DataFrame, by: list[str], shards: int = SHARDS,
 
     Shards differ by one row at most, slots are gapless from 0, and every order is equally likely.
     `by` names columns that tell rows apart (an id and a text): rows equal in them are
-    interchangeable, so they may be null or repeated; they share a partition of the first step.
-    Input columns named `shard` or `slot` are replaced. No rows give no rows.
+    interchangeable, so they may be null or repeated. Where more than HEAVY rows are equal the result
+    depends on how the input is cut as well. Input columns named `shard` or `slot` are replaced. No rows give no rows.
     """
     session = docs.sparkSession
     shuffles = int(session.conf.get("spark.sql.shuffle.partitions"))
     parts = FINER * shuffles
     keys = [docs[f"`{name}`"] for name in by]
     whole = F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("row")
-    part = F.pmod(F.xxhash64(F.lit(seed), F.lit("part"), *keys), _long(parts)).alias("part")
-    matrix = communication_matrix(docs.select(part).groupBy("part").agg(F.count("*").alias("n")),
+    key = F.xxhash64(F.lit(seed), F.lit("part"), *keys)
+    heavy = docs.select(key.alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(
+        F.col("n") > HEAVY).select("key", F.lit(True).alias("heavy"))
+    if heavy.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        heavy = F.broadcast(heavy)
+    piece = F.when(F.col("heavy"), F.xxhash64("key", "piece")).otherwise(F.col("key"))
+    dealt = docs.select(
+        whole, key.alias("key"), F.spark_partition_id().alias("piece")).join(
+        heavy, "key", "left").select("row", "key", F.pmod(piece, _long(parts)).alias("part"))
+    matrix = communication_matrix(dealt.groupBy("part").agg(F.count("*").alias("n")),
                                   parts, shards, seed)
-    order = Window.partitionBy("part").orderBy("random", *[f"row.`{name}`" for name in by])
-    ordered = docs.select(
-        whole, part, F.xxhash64(F.lit(seed), F.lit("order"), *keys).alias("random")).withColumn(
-        "at", F.row_number().over(order).cast("long") - 1)
+    # Equal rows are numbered, so that each has a random place of its own.
+    equal = F.row_number().over(Window.partitionBy("part", "key").orderBy("key"))
+    order = Window.partitionBy("part").orderBy("random", "key", "equal")
+    ordered = (dealt.withColumn("equal", equal)
+               .withColumn("random", F.xxhash64(F.lit(seed), F.lit("order"), "part", "key", "equal"))
+               .withColumn("at", F.row_number().over(order).cast("long") - 1))
     # The shard whose share of the partition's order holds this row, and the place in that share.
     found = F.aggregate(
         "take", F.struct(_long(0).alias("shard"), F.col("at").alias("rest"),

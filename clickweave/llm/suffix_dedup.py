@@ -20,7 +20,9 @@ text is finished after the first pass.
 
 Hot digits are split before they are dealt: an Arrow batch sends at most one row for each k-gram and
 decides itself what it can, namely copies within the batch and rows known to share their digit.
-Digits are 64-bit hashes, two independent ones decide that rows are equal.
+Digits are 64-bit hashes, two independent ones decide that rows are equal. So suffixes are ordered by
+the hashes of their digits, not alphabetically, and only as far as to tell equal windows: within a group
+nothing is ordered, and suffixes that do not begin at an anchor have no row of their own.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,9 +63,14 @@ ROWS = 1 << 10
 # Bytes of text after which a batch is decided upon.
 BATCH_BYTES = 1 << 23
 
-# `tag`: copy * 4 + kind. `place`: windows and anchor of a row, see _pack; of a covered one the
-# first window, `c` then being the last.
-_DEALT = "k LONG NOT NULL, c LONG NOT NULL, doc LONG NOT NULL, tag INT NOT NULL, place LONG NOT NULL"
+# Texts of one id are dealt by a slot, bits of their hash, and within it by the part of the input they
+# stand in: so neither an id nor a text that a third of all rows have goes to one task. `copy` tells
+# the texts apart that share both, and has so many bits.
+SLOT_BITS, PART_BITS, COPY_BITS = 20, 16, 24
+
+# `tag`: slot, part, copy and kind. `place`: windows and anchor of a row, see _pack; of a covered one
+# the first window, `c` then being the last.
+_DEALT = "k LONG NOT NULL, c LONG NOT NULL, doc LONG NOT NULL, tag LONG NOT NULL, place LONG NOT NULL"
 
 
 def _pack(at: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -136,17 +143,17 @@ def _decide(k: np.ndarray, c: np.ndarray, doc: np.ndarray, copy: np.ndarray, at:
     k = np.where(kind == SHARED_ELSEWHERE, c, k)
     go, done = kind != COVERED, np.flatnonzero(kind == COVERED)
     done = done[np.lexsort((low[done], copy[done], doc[done]))]
-    rows = [(k[go], c[go], doc[go], copy[go] * 4 + kind[go], _pack(at[go], low[go], high[go]))]
+    rows = [(k[go], c[go], doc[go], copy[go] << 2 | kind[go], _pack(at[go], low[go], high[go]))]
     if len(done):
         d, p, lo, hi = doc[done], copy[done], low[done], high[done]
         new = np.concatenate(([True], (d[1:] != d[:-1]) | (p[1:] != p[:-1]) | (lo[1:] > hi[:-1] + 1)))
         first, last = np.flatnonzero(new), np.flatnonzero(np.concatenate((new[1:], [True])))
         d, p, lo = d[first], p[first], lo[first]
         spread = _surroundings(d.astype(U64), lo.astype(U64), p)
-        rows.append((spread, hi[last].astype(U64), d, p * 4 + COVERED, lo))
+        rows.append((spread, hi[last].astype(U64), d, p << 2 | COVERED, lo))
     k, c, doc, tag, place = (np.concatenate(x) for x in zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(x) for x in (k.view(np.int64), c.view(np.int64), doc, tag.astype(np.int32), place)],
+        [pa.array(x) for x in (k.view(np.int64), c.view(np.int64), doc, tag, place)],
         ["k", "c", "doc", "tag", "place"])
 
 
@@ -225,7 +232,7 @@ def _judged(dealt: DataFrame) -> DataFrame:
     """For each document the rows of a pass that are covered, or open for the next pass.
 
     Of rows equal in digit and surroundings all but the first are covered; the first is open if its
-    digit is shared by a row with other surroundings.
+    digit is shared by a row with other surroundings. A document is an id and a slot with its part.
     """
     # The kind does not order rows: those of one text may be of different kinds.
     order = Window.partitionBy("k").orderBy("c", "doc", F.shiftright("tag", 2), "place")
@@ -238,24 +245,28 @@ def _judged(dealt: DataFrame) -> DataFrame:
         "shared": (F.first("c").over(group) != F.last("c").over(group))
         | (F.max(kind).over(group) >= SHARED)})
         .where(covered | F.col("shared"))
-        .groupBy("doc")
+        .groupBy("doc", F.shiftright("tag", COPY_BITS + 2).alias("slot"))
         .agg(F.collect_list(F.struct(
-            covered.alias("covered"), F.shiftright("tag", 2).alias("copy"), "place",
+            covered.alias("covered"), _own_copy(F.shiftright("tag", 2)).alias("copy"), "place",
             F.when(kind == COVERED, F.col("c")).otherwise(
                 F.shiftright("place", 30) + F.shiftright("place", 15) % (1 << 15)).alias("high"),
             F.when(kind == COVERED, F.col("place")).otherwise(
                 F.shiftright("place", 30)).alias("low"))).alias("rows")))
 
 
+def _own_copy(document: Column) -> Column:
+    return document.bitwiseAND(F.lit((1 << COPY_BITS) - 1))
+
+
 def _open(texts: DataFrame, judged: DataFrame) -> DataFrame:
-    """The texts with windows to look at again. Joined by `doc` alone, as both are dealt by it."""
-    rows = F.filter("rows", lambda r: ~r["covered"] & (r["copy"] == F.col("copy")))
-    return texts.join(judged, "doc").select("doc", "copy", "row", rows.alias("open")).where(
-        F.size("open") > 0)
+    """The texts with windows to look at again. Joined by what both are dealt by."""
+    rows = F.filter("rows", lambda r: ~r["covered"] & (r["copy"] == _own_copy(F.col("copy"))))
+    return texts.join(judged, ["doc", "slot"]).select(
+        "doc", "copy", "row", rows.alias("open")).where(F.size("open") > 0)
 
 
 def _covered(judged: DataFrame) -> DataFrame:
-    return judged.select("doc", F.filter("rows", lambda r: r["covered"]).alias("spans"))
+    return judged.select("doc", "slot", F.filter("rows", lambda r: r["covered"]).alias("spans"))
 
 
 def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -307,28 +318,33 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     count, matches never cross documents, and strings are judged on the input.
 
     A null doc_id comes first, a null text is empty, and a text shorter than `length` stays whole.
-    Rows with the same doc_id are documents of their own, ordered by text; of two equal rows the
-    first stays. Input columns named like an added one are replaced by it. No rows give no rows.
+    Rows with the same doc_id are documents of their own, ordered by the leading bits of the xxhash64
+    of their texts; of two equal rows one stays. Input columns named like an added one are replaced by it. No rows give no rows.
     """
     bound_batches(docs.sparkSession)
     schema = docs.select(whole_row(docs)).schema["row"].dataType
-    rows = docs.select(id_key(docs["doc_id"]).alias("doc"), whole_row(docs)).repartition("doc")
+    text_hash = F.shiftrightunsigned(F.xxhash64(F.coalesce(docs["text"], F.lit(""))), 64 - SLOT_BITS)
+    part = F.spark_partition_id().cast("long").bitwiseAND(F.lit((1 << PART_BITS) - 1))
+    slot = F.shiftleft(text_hash, PART_BITS).bitwiseOR(part)
+    rows = docs.select(id_key(docs["doc_id"]).alias("doc"), slot.alias("slot"),
+                       whole_row(docs)).repartition("doc", "slot")
     # The columns are the same wherever the texts are read, so they are shuffled only once.
-    copies = Window.partitionBy("doc").orderBy(F.col("row.text"))
-    texts = rows.withColumn("copy", (F.row_number().over(copies) - 1).cast("int"))
+    copies = Window.partitionBy("doc", "slot").orderBy(F.col("row.text"))
+    number = F.row_number().over(copies).cast("long") - 1
+    texts = rows.withColumn("copy", F.shiftleft("slot", COPY_BITS).bitwiseOR(number))
     passes = [_judged(texts.mapInArrow(_first_pass(length), _DEALT))]
     for block in (min(BLOCK, length), 1):
         asked = _open(texts, passes[-1]).mapInArrow(_next_pass(length, block), _DEALT)
         passes.append(_judged(asked))
     covered = [_covered(judged) for judged in passes]
-    spans = (covered[0].union(covered[1]).union(covered[2]).groupBy("doc")
+    spans = (covered[0].union(covered[1]).union(covered[2]).groupBy("doc", "slot")
              .agg(F.flatten(F.collect_list("spans")).alias("spans")))
-    own = F.filter("spans", lambda r: r["copy"] == F.col("copy"))
+    own = F.filter("spans", lambda r: r["copy"] == _own_copy(F.col("copy")))
     out = T.StructType([T.StructField("row", schema)]
                        + T.StructType.fromDDL("n_bytes LONG, spans ARRAY<STRUCT<start: LONG, "
                                               "end: LONG>>, kept "
                                               + ("STRING" if as_text else "BINARY")).fields)
-    cut = texts.join(spans, "doc", "left").select("row", own.alias("spans")).mapInArrow(
+    cut = texts.join(spans, ["doc", "slot"], "left").select("row", own.alias("spans")).mapInArrow(
         _cut(length, as_text), out)
     return unpack(cut, "n_bytes", "spans", "kept")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from clickweave.llm import decontamination
 
@@ -36,9 +37,9 @@ def brute(docs, items):
     return sorted(out, key=str)
 
 
-def check(spark, docs, items, **settings):
+def check(spark, docs, items):
     df = spark.createDataFrame([(d, t, 1, "x") for d, t in docs], DOCS).repartition(3)
-    got = decontamination.report(df, spark.createDataFrame(items, ITEMS), **settings).collect()
+    got = decontamination.report(df, spark.createDataFrame(items, ITEMS)).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(docs, items)
 
 
@@ -62,16 +63,42 @@ def test_random_texts(spark):
     check(spark, *sample(1))
 
 
-def test_a_benchmark_in_blocks(spark):
-    check(spark, *sample(2), block_words=200)
+def test_joins_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
+    check(spark, *sample(2))
 
 
-def test_the_query_itself_takes_several_blocks(spark, monkeypatch):
-    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 200)
-    monkeypatch.setattr(decontamination.report, "__defaults__", (200,))
-    docs, items = sample(4)
-    assert len(decontamination._blocks(spark.createDataFrame(items, ITEMS), 200)) > 2
-    check(spark, docs, items)
+def test_a_bitmap_that_marks_almost_everything(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "MARK_BITS", 7)
+    check(spark, *sample(4))
+
+
+def test_copies_and_equal_words(spark):
+    """A third of the rows is one text, and texts of one word meet items of that word."""
+    docs, items = sample(5)
+    docs += [(1000 + i, "x " * 300 + docs[4][1]) for i in range(45)]
+    check(spark, [*docs, (2000, "q " * 5000), (2001, "q " * 12), (2002, "q " * 13)],
+          [*items, (200, "q " * 200), (201, "q " * 13), (202, "q q q")])
+
+
+def test_a_long_text_of_one_word_takes_seconds(spark):
+    docs = spark.createDataFrame([(1, "zero " * 200_000)], "doc_id LONG, text STRING")
+    items = spark.createDataFrame([(1, "zero " * 200)], ITEMS)
+    begin = time.perf_counter()
+    row, = decontamination.report(docs, items).collect()
+    assert (row.n_words, row.n_hit, row.n_items) == (200_000, 200_000, 1)
+    assert time.perf_counter() - begin < 20
+
+
+def test_runs_of_words_and_clashing_columns(spark):
+    passage = [f"w{i}" for i in range(20)]
+    text = " ".join(["a", "b", *passage, "c", *passage[3:18], "d"])
+    docs = spark.createDataFrame([(1, text, 5, "x"), (1, text, 5, "x"), (2, "w1 w2", 5, "y")], DOCS)
+    items = spark.createDataFrame([(7, " ".join(passage)), (8, " ".join(passage[2:15]))], ITEMS)
+    rows = decontamination.find_contamination(docs, items).orderBy("doc_id").collect()
+    assert rows[0] == rows[1] and rows[2].hits == [] and not rows[2].contaminated
+    assert [tuple(h) for h in rows[0].hits] == [("7", 2, 22), ("7", 23, 38), ("8", 4, 17)]
+    assert (rows[0].text, rows[0].n_words, rows[0].n_hit) == (text, 39, 35)
 
 
 def test_empty_tables(spark):

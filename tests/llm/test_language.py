@@ -91,3 +91,32 @@ def test_edges(spark, model):
     assert {r.lang_pred for r in language.report(df.where("lang IS NULL")).collect()} == {"und"}
     assert language.report(df.limit(0)).collect() == []
     assert language.with_a_language(df).columns == df.columns
+
+
+def test_a_rare_language_is_learned(spark):
+    """One document of 100 in a language of its own words, and a hundred languages."""
+    rng = random.Random(4)
+    common, rare = ([["".join(rng.choice(letters) for _ in range(6)) for _ in range(80)]
+                     for letters in ("abcdef", "uvwxyz")])
+    rows = [(i, " ".join(rng.choices(rare if i % 100 == 7 else common, k=30)),
+             "rare" if i % 100 == 7 else "common") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")
+    found = language.report(df, learn_docs=60).collect()
+    assert all(r.lang_pred == rows[r.doc_id][2] for r in found)
+
+
+def test_quotas_and_tables():
+    assert language._quotas({"a": 5, "b": 1000, "c": 10_000}, 305) == {"a": 5, "b": 150, "c": 150}
+    assert language._quotas({"a": 5, "b": 6}, 100) == {"a": 5, "b": 6}
+    assert language.gram_bits(4) == language.GRAM_BITS
+    for n in (300, 5000):
+        assert language.LEAST_BITS <= language.gram_bits(n) < language.GRAM_BITS
+        assert n * language.columns(language.gram_bits(n)) < 2 * language.TABLE_ENTRIES
+
+
+def test_parts_change_nothing(docs, model, monkeypatch):
+    column = pa.array([r.text for r in docs.limit(60).collect()] + [None, ""])
+    whole = model.predict(column)
+    monkeypatch.setattr(language, "PATH_BYTES", 3000)
+    assert all(a.equals(b) for a, b in zip(whole, model.predict(column)))
+    assert [len(a) for a in model.predict(column.slice(0, 0))] == [0, 0, 0]

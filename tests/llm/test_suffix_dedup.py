@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
+
+import xxhash
 
 from clickweave.llm import suffix_dedup
 
 SCHEMA = "doc_id LONG, text STRING, kept STRING, doc INT"
 
 
+def slot(text):
+    """The leading bits of Spark's xxhash64 of the text."""
+    return xxhash.xxh64_intdigest((text or "").encode(), 42) >> 64 - suffix_dedup.SLOT_BITS
+
+
 def brute(rows, length=100):
     """(doc_id, n_bytes, n_removed, n_spans, sha256) of rows (doc_id, text), in their order."""
-    ordered = sorted(rows, key=lambda r: (-2**63 if r[0] is None else r[0], r[1] or ""))
+    ordered = sorted(rows, key=lambda r: (-2**63 if r[0] is None else r[0], slot(r[1])))
     seen, out = set(), []
     for doc_id, text in ordered:
         data = (text or "").encode()
@@ -85,6 +93,31 @@ def test_passage_repeated_in_one_document_over_slices(spark, monkeypatch):
         check(spark, rows)
 
 
+def test_many_texts_of_one_id(spark):
+    rng = random.Random(13)
+    pool = [f"w{i}" for i in range(300)]
+    passages = [words(rng, 40, pool) for _ in range(4)]
+    texts = [words(rng, 20, pool) + rng.choice(passages) + words(rng, 20, pool) for _ in range(120)]
+    check(spark, [(None, t) for t in texts] + [(5, t) for t in texts[:40]]
+          + [(None, texts[0])] * 60 + [(3, "a" * 99)] * 5 + [(None, None)] * 9)
+
+
+def test_null_ids_take_no_longer(spark):
+    rng = random.Random(17)
+    pool = [f"w{i}" for i in range(3000)]
+    texts = [words(rng, 150, pool) for _ in range(4000)]
+
+    def seconds(rows):
+        df = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+        begin = time.perf_counter()
+        suffix_dedup.report(df).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - begin
+
+    unique, null = ([(i, t) for i, t in enumerate(texts)], [(None, t) for t in texts])
+    seconds(unique)
+    assert seconds(null) <= 1.5 * seconds(unique) + 1
+
+
 def test_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert suffix_dedup.report(df).collect() == []
