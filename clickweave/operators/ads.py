@@ -6,6 +6,8 @@ behind the newest day (or minute) a row may be before its group is closed.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,27 +23,55 @@ def _number(text: Column) -> Column:
     return F.when(text.rlike(r"^-?[0-9]+$"), text.try_cast("bigint"))
 
 
+def _name(text: Column) -> Column:
+    """A part that is not empty and free of other white space, else null."""
+    return F.when(text.rlike(r"^\S+$"), text)
+
+
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """`epoch_ms province city user ad` lines with `field`: each part typed, null if it is wrong.
+
+    Parts are one space apart; those after the fifth are ignored. Each step is a generator of one
+    row, below which no filter is pushed: a line is split once and a part matched and cast once,
+    whatever conditions and columns are made of them.
+    """
+    split = lines.select("*", F.explode(F.array(F.split("value", " "))).alias("part"))
+    part = [F.get("part", F.lit(i)) for i in range(5)]
+    field = F.struct(
+        _number(part[0]).alias("time"), _name(part[1]).alias("province"),
+        _name(part[2]).alias("city"), _number(part[3]).alias("user_id"),
+        _number(part[4]).alias("ad_id"))
+    return split.select(*lines.columns, F.explode(F.array(field)).alias("field"))
+
+
 def _is_click() -> Column:
-    """A time, two names and two numbers, each one space apart."""
-    part = F.split(F.col("value"), " ")
-    time, user, ad = (_number(F.get(part, F.lit(i))) for i in (0, 3, 4))
-    named = [F.get(part, F.lit(i)).rlike(r"^\S+$") for i in (1, 2)]
-    return F.coalesce(time.between(-MAX_MILLISECONDS, MAX_MILLISECONDS) & user.isNotNull()
-                      & ad.isNotNull() & named[0] & named[1], F.lit(False))
+    """Whether all fields are there and the time is one that a timestamp can hold."""
+    in_range = F.col("field.time").between(-MAX_MILLISECONDS, MAX_MILLISECONDS)
+    there = [F.col(f"field.{name}").isNotNull() for name in ("province", "city", "user_id", "ad_id")]
+    return reduce(Column.__and__, there, F.coalesce(in_range, F.lit(False)))
+
+
+def clicks_of(parsed: DataFrame) -> DataFrame:
+    """The clicks among parsed lines."""
+    others = [c for c in parsed.columns if c not in ("value", "field")]
+    return parsed.where(_is_click()).select(
+        *others, from_epoch_ms(F.col("field.time")).alias("ts"), "field.province", "field.city",
+        "field.user_id", "field.ad_id")
+
+
+def rejects_of(parsed: DataFrame) -> DataFrame:
+    """The parsed lines that are no click, as they came."""
+    return parsed.where(~_is_click()).drop("field")
 
 
 def valid_clicks(lines: DataFrame) -> DataFrame:
-    """`epoch_ms province city user ad` lines, split and typed; fields after these are ignored."""
-    part = F.split(F.col("value"), " ")
-    return lines.where(_is_click()).select(
-        *[c for c in lines.columns if c != "value"],
-        from_epoch_ms(_number(part[0])).alias("ts"), part[1].alias("province"),
-        part[2].alias("city"), _number(part[3]).alias("user_id"), _number(part[4]).alias("ad_id"))
+    """The lines that are clicks, split and typed."""
+    return clicks_of(parsed_lines(lines))
 
 
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """Lines that are no click, kept as they came."""
-    return lines.where(~_is_click())
+    return rejects_of(parsed_lines(lines))
 
 
 def _per_day(clicks: DataFrame, keys: list[str], late_by: str | None) -> DataFrame:

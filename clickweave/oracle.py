@@ -366,6 +366,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_ad_city_clicks": _stream("SELECT * FROM city_clicks"),
         "stream_ad_province_top3": _stream(_TOP3),
         "stream_ad_minute_trend": _stream(f"{_TREND} GROUP BY ALL"),
+        "stream_ad_recent_hour": _stream(f"""{_TREND} WHERE date_trunc('minute', ts) >
+            (SELECT date_trunc('minute', max(ts)) - INTERVAL 60 MINUTE FROM clicks) GROUP BY ALL"""),
         "sink_append": _categories(f"""SELECT * FROM ({_TOP10}),
             (VALUES ('task-1'), ('task-2')) t(taskid)"""),
         "sink_saved_table": _categories(_TOP10),

@@ -128,11 +128,17 @@ class Inputs:
 
     @property
     def monitor(self) -> AdMonitor:
-        key = self.spark.sparkContext.applicationId, self.sf_dir
+        key = self.spark.sparkContext.applicationId, self.sf_dir, self._files_of("events")
         if key not in _MONITORS:
             _MONITORS[key] = replay(self.spark, self.sf_dir, THRESHOLD)
         return _MONITORS[key]
 
+    def _files_of(self, name: str) -> str:
+        """The files of a table, with their sizes and times: other ones are other data."""
+        files = star_schema.table(self.spark, self.sf_dir, name).select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        return str(sorted(tuple(map(str, row)) for row in files.distinct().collect()))
+
     def folder(self, name: str) -> str:
         return work_folder(self.spark, name)
 
@@ -243,10 +249,10 @@ def _clicks_clean(t: Inputs) -> DataFrame:
     return ads.without_users(t.ad_clicks, t.blacklist).drop("ts")
 
 
-# Streams. One replay serves all queries of a session over the same tables, as one live monitor
+# Streams. One replay serves all queries of a session over the same files, as one live monitor
 # would; each query then runs its own streaming query to the end of the log.
 
-_MONITORS: dict[tuple[str, str], AdMonitor] = {}
+_MONITORS: dict[tuple[str, str, str], AdMonitor] = {}
 
 
 def _stream_clean(t: Inputs) -> DataFrame:
@@ -276,6 +282,11 @@ def _stream_trend(t: Inputs) -> DataFrame:
     return t.monitor.click_trend()
 
 
+def _stream_recent_hour(t: Inputs) -> DataFrame:
+    t.monitor.start_click_trend(CATCH_UP).awaitTermination()
+    return t.monitor.recent_hour()
+
+
 # Sinks: written, read back.
 
 def _sink_append(t: Inputs) -> DataFrame:
@@ -409,6 +420,7 @@ _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stream_ad_city_clicks": _stream_city_clicks,
     "stream_ad_province_top3": _stream_province_top,
     "stream_ad_minute_trend": _stream_trend,
+    "stream_ad_recent_hour": _stream_recent_hour,
     # Sinks.
     "sink_append": _sink_append,
     "sink_saved_table": _sink_saved_table,

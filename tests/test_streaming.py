@@ -9,15 +9,20 @@ from pyspark.sql import functions as F
 
 from clickweave.operators import ads
 from clickweave.session import work_folder
-from clickweave.sources import star_schema
+from clickweave.sources import files, star_schema
+from clickweave.sources.batch_table import BatchTable
 from clickweave.sources.streams import kafka_lines, text_lines
 from clickweave.streaming import ad_monitor
 from clickweave.streaming.ad_monitor import CATCH_UP, AdMonitor
-from tests.tables import CLICK_SCHEMA, tuples
+from tests.tables import tuples
 
 NOON = datetime(2024, 1, 10, 12, tzinfo=timezone.utc)
 
 
+# A click of the year 5138.
+AHEAD = "100000000000000 p c 1 5"
+
+
 def line(user_id, ad_id, minutes=0, province="p", city="c"):
     ms = int((NOON + timedelta(minutes=minutes)).timestamp() * 1000)
     return f"{ms} {province} {city} {user_id} {ad_id}"
@@ -126,20 +131,170 @@ def test_a_batch_updates_its_state_once(spark, root):
             if p["numInputRows"]] == [2]
 
 
-def test_a_batch_that_failed_before_its_publishing_counts_once(spark, root, monkeypatch):
-    arrive(spark, root, line(1, 5), "no click")
-
-    def fail(*_):
-        raise OSError("lost")
-
+@pytest.mark.parametrize("step, number", [
+    ("write_text", 0), ("write_text", 2), ("write_text", 4), ("move", 1)])
+def test_a_batch_of_the_filter_that_failed_counts_once(spark, root, monkeypatch, step, number):
+    """Wherever it failed: before or after rejects, clean clicks or an inbox were published."""
+    arrive(spark, root, line(1, 5), line(1, 5), "no click", AHEAD)
     with monkeypatch.context() as patch:
-        patch.setattr(ad_monitor, "_move", fail)
+        fail_at(patch, files, step, number)
         with pytest.raises(StreamingQueryException):
             run(spark, root, "filter")
-    assert run(spark, root, "ad_stat").clean().count() == 0
-    monitor = run(spark, root, "filter", "ad_stat")
-    assert tuples(monitor.ad_stat(), "click_count") == [(1,)]
+    run(spark, root, "user_clicks", "ad_stat")
+    queries = "filter", "user_clicks", "ad_stat"
+    run(spark, root, *queries)
+    arrive(spark, root, line(2, 5))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.clean(), "user_id") == [(1,), (1,), (2,)]
+    assert tuples(monitor.user_clicks(), "user_id", "click_count") == [(1, 2), (2, 1)]
+    assert tuples(monitor.ad_stat(), "click_count") == [(3,)]
     assert tuples(monitor.rejects()) == [("no click",)]
+    assert tuples(monitor.out_of_time(), "reason") == [("ahead",)]
+
+
+@pytest.mark.parametrize("query, number", [("user_clicks", 0), ("user_clicks", 1), ("ad_stat", 1),
+                                           ("province_top", 1), ("click_trend", 1)])
+def test_a_batch_of_counts_that_failed_counts_once(spark, root, monkeypatch, query, number):
+    """Before it was published, or after that and before its second output was."""
+    arrive(spark, root, *[line(1, 5)] * 3, line(2, 5))
+    run(spark, root, "filter", threshold=2)
+    with monkeypatch.context() as patch:
+        if number and query == "ad_stat":
+            patch.setattr(BatchTable, "compact", fail)
+        else:
+            fail_at(patch, files, "write_text", number)
+        with pytest.raises(StreamingQueryException):
+            run(spark, root, query, threshold=2)
+    for arrived in ((), (line(1, 5), line(3, 5), line(3, 6))):
+        if arrived:
+            arrive(spark, root, *arrived)
+        monitor = run(spark, root, "filter", query, threshold=2)
+    if query == "user_clicks":
+        # User 1 was listed before the last lines came.
+        assert tuples(monitor.blacklist()) == [(1,)]
+        assert tuples(monitor.user_clicks(), "user_id", "ad_id", "click_count") == [
+            (1, 5, 3), (2, 5, 1), (3, 5, 1), (3, 6, 1)]
+    else:
+        counts = {"ad_stat": monitor.ad_stat, "province_top": monitor.province_top,
+                  "click_trend": monitor.recent_hour}[query]()
+        assert tuples(counts, "ad_id", "click_count") == [(5, 6), (6, 1)]
+
+
+def fail(*_):
+    raise OSError("lost")
+
+
+def fail_at(patch, module, step, number):
+    """Let a step fail once it has been taken so many times."""
+    real, left = getattr(module, step), [number]
+
+    def once(*args):
+        if left[0] == 0:
+            fail()
+        left[0] -= 1
+        return real(*args)
+
+    patch.setattr(module, step, once)
+
+
+@pytest.fixture(params=["the jobs' session", "Spark's defaults"])
+def any_session(request, spark, root):
+    """The session of the jobs, and one that runs batches without data and has another state store."""
+    if request.param == "the jobs' session":
+        yield spark
+        return
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    other.conf.set("spark.sql.shuffle.partitions", "1")
+    other.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    other.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield other
+
+
+def test_batches_without_a_click_to_count(any_session, root):
+    spark = any_session
+    queries = "filter", "user_clicks", "ad_stat", "province_top", "click_trend"
+    arrive(spark, root, *[line(1, 5)] * 3)
+    run(spark, root, *queries, threshold=2)
+    # Only rejects, only clicks of the future, only a listed user, only closed days, nothing.
+    for lines in (["no click", ""], [AHEAD, AHEAD],
+                  [line(1, 5), line(1, 6)], [line(2, 5, -24 * 60 * 3)]):
+        arrive(spark, root, *lines)
+        monitor = run(spark, root, *queries, threshold=2)
+        assert tuples(monitor.blacklist()) == [(1,)]
+        assert tuples(monitor.user_clicks(), "user_id", "click_count") == [(1, 3)]
+        for counts in (monitor.ad_stat(), monitor.province_top(), monitor.click_trend(),
+                       monitor.recent_hour()):
+            assert tuples(counts, "click_count") == [(3,)]
+    arrive(spark, root, line(4, 5, 24 * 60 * 3))
+    monitor = run(spark, root, *queries, threshold=2)
+    assert tuples(monitor.user_clicks(), "user_id", "click_count") == [(1, 3), (4, 1)]
+    assert monitor.rejects().count() == 2 and monitor.out_of_time().count() == 3
+
+
+def test_a_first_batch_without_a_click(any_session, root):
+    spark = any_session
+    queries = "filter", "user_clicks", "click_trend"
+    arrive(spark, root, "no click")
+    monitor = run(spark, root, *queries)
+    assert monitor.blacklist().count() == monitor.recent_hour().count() == 0
+    arrive(spark, root, line(1, 5))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.recent_hour(), "click_count") == [(1,)]
+
+
+def test_days_of_a_user_expire_and_the_mark_stays(spark, root):
+    """Read from the state itself: open days only, and listed users for good."""
+    def state():
+        rows = (spark.read.format("statestore").option("stateVarName", "user")
+                .load(f"{root}/checkpoints/user_clicks"))
+        return sorted((r.key.user_id, len(r.value.days), r.value.listed) for r in rows.collect())
+
+    queries = "filter", "user_clicks"
+    arrive(spark, root, *[line(1, 5)] * 3, line(2, 5), line(2, 6))
+    run(spark, root, *queries, threshold=2)
+    assert state() == [(1, 1, True), (2, 2, False)]
+    for day in (1, 2, 3, 4):
+        arrive(spark, root, line(3, 5, day * 24 * 60))
+        monitor = run(spark, root, *queries, threshold=2)
+    # The days two before the newest are closed; user 2 is forgotten, user 1 is not.
+    assert state() == [(1, 0, True), (3, 2, False)]
+    assert tuples(monitor.blacklist()) == [(1,)]
+    assert tuples(monitor.user_clicks(), "date", "user_id", "click_count")[:3] == [
+        ("20240110", 1, 3), ("20240110", 2, 1), ("20240110", 2, 1)]
+
+
+def test_the_last_hour_moves_on(spark, root):
+    queries = "filter", "click_trend"
+    arrive(spark, root, line(1, 5), line(1, 5, 30), line(1, 6, 30))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.recent_hour(), "minute", "ad_id") == [("00", 5), ("30", 5), ("30", 6)]
+    arrive(spark, root, line(2, 5, 59), line(2, 5, 30))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.recent_hour(), "minute", "ad_id", "click_count") == [
+        ("00", 5, 1), ("30", 5, 2), ("30", 6, 1), ("59", 5, 1)]
+    arrive(spark, root, line(2, 5, 60))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.recent_hour(), "hour", "minute", "ad_id") == [
+        ("12", "30", 5), ("12", "30", 6), ("12", "59", 5), ("13", "00", 5)]
+    arrive(spark, root, line(2, 7, 500))
+    monitor = run(spark, root, *queries)
+    assert tuples(monitor.recent_hour(), "ad_id") == [(7,)]
+    assert monitor.click_trend().count() == 6
+
+
+def test_what_a_batch_lists_does_not_grow(spark, root):
+    """Over batches of a day each: the closed days are a run each, and the inboxes are swept."""
+    for day in range(12):
+        arrive(spark, root, line(1, 5, day * 24 * 60), line(day, 6, day * 24 * 60), "no click")
+        monitor = run(spark, root, "filter", "ad_stat")
+        arrive(spark, root, line(1, 5, day * 24 * 60))
+    for name in ("clean", "ad_stat"):
+        days = [r.day for r in monitor.table(name).manifest().runs]
+        assert len(set(days)) == 12 and len(days) <= 12 + 4
+    assert len(os.listdir(f"{root}/inbox/ad_stat")) <= ad_monitor.SETTLED + 3
+    assert monitor.clean().count() == monitor.ad_stat().agg(F.sum("click_count")).first()[0] == 35
 
 
 def test_best_ads_grow_batch_by_batch(spark, root):
@@ -160,45 +315,6 @@ def test_best_ads_grow_batch_by_batch(spark, root):
         ("p", 1, 3), ("p", 3, 10), ("p", 4, 4), ("q", 8, 2), ("q", 9, 1)]
 
 
-def click_rows(spark, *rows):
-    return spark.createDataFrame(
-        [(NOON.replace(tzinfo=None), "p", "c", user, ad) for user, ad in rows], CLICK_SCHEMA)
-
-
-def test_replayed_batches_change_nothing(spark, root):
-    monitor = AdMonitor(spark, root, threshold=1).create_tables()
-    clicks = click_rows(spark, (1, 5), (1, 5), (2, 5))
-    monitor._write_clean(clicks, 0)
-    files = os.listdir(f"{root}/clean/batch_id=0")
-    for _ in range(2):
-        monitor._write_clean(clicks, 0)
-        monitor._write_user_clicks(ads.user_clicks(clicks), 0)
-        monitor._write_ad_stat(ads.city_clicks(clicks), 0)
-        monitor._write_province_top(ads.province_day_clicks(clicks), 0)
-        monitor._write_trend(ads.minute_trend(ads.minute_clicks(clicks)), 0)
-    assert os.listdir(f"{root}/clean/batch_id=0") == files
-    assert tuples(monitor.blacklist()) == [(1,)]
-    assert tuples(monitor.user_clicks(), "user_id", "click_count") == [(1, 2), (2, 1)]
-    assert tuples(monitor.ad_stat(), "click_count") == [(3,)]
-    assert tuples(monitor.click_trend(), "click_count") == [(3,)]
-    assert tuples(monitor.province_top(), "ad_id", "click_count") == [(5, 3)]
-
-    # A later batch that failed half way is written again from the same earlier state.
-    later = ads.province_day_clicks(click_rows(spark, *[(1, 6)] * 4))
-    for _ in range(3):
-        monitor._write_province_top(later, 1)
-        assert tuples(monitor.province_top(), "ad_id", "click_count") == [(5, 3), (6, 4)]
-
-
-def test_unfinished_clean_batch_is_written_again(spark, root):
-    monitor = AdMonitor(spark, root).create_tables()
-    folder = f"{root}/clean/batch_id=0"
-    click_rows(spark, (7, 7)).write.parquet(folder)
-    os.remove(f"{folder}/_SUCCESS")
-    monitor._write_clean(click_rows(spark, (1, 5)), 0)
-    assert tuples(monitor.clean(), "user_id") == [(1,)]
-
-
 def test_streams_agree_with_batches(spark, root, sf_dir):
     lines = star_schema.ad_lines(spark, sf_dir)
     # Four files, one micro-batch each, in whatever order they are read.
@@ -212,13 +328,17 @@ def test_streams_agree_with_batches(spark, root, sf_dir):
     for start in (monitor.start_user_clicks, monitor.start_ad_stat, monitor.start_province_top,
                   monitor.start_click_trend):
         start(CATCH_UP).awaitTermination()
+    for name in ("clean", "ad_stat", "ad_user_click_count", "ad_click_trend"):
+        # Merged in the middle of the stream or not, the tables are the same.
+        monitor.table(name).compact(lambda day: True)
     clicks = ads.valid_clicks(lines)
     per_city = ads.city_clicks(clicks)
     for streamed, expected in (
             (monitor.user_clicks(), ads.user_clicks(clicks)),
             (monitor.ad_stat(), per_city),
             (monitor.province_top(), ads.province_top(ads.province_clicks(per_city))),
-            (monitor.click_trend(), ads.minute_trend(ads.minute_clicks(clicks)))):
+            (monitor.click_trend(), ads.minute_trend(ads.minute_clicks(clicks))),
+            (monitor.recent_hour(), ads.minute_trend(ads.minute_clicks(ads.recent_clicks(clicks))))):
         streamed = streamed.select(*expected.columns)
         assert streamed.exceptAll(expected).count() == expected.exceptAll(streamed).count() == 0
         assert streamed.count() > 0
