@@ -258,8 +258,8 @@ def test_days_of_a_user_expire_and_the_mark_stays(spark, root):
     for day in (1, 2, 3, 4):
         arrive(spark, root, line(3, 5, day * 24 * 60))
         monitor = run(spark, root, *queries, threshold=2)
-    # The days two before the newest are closed; user 2 is forgotten, user 1 is not.
-    assert state() == [(1, 0, True), (3, 2, False)]
+    # A batch closes days by what came before it. User 2 is forgotten, user 1 is not.
+    assert state() == [(1, 0, True), (3, 3, False)]
     assert tuples(monitor.blacklist()) == [(1,)]
     assert tuples(monitor.user_clicks(), "date", "user_id", "click_count")[:3] == [
         ("20240110", 1, 3), ("20240110", 2, 1), ("20240110", 2, 1)]
