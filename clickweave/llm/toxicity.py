@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import U64, Hashes, Words, map_rows, parts, utf8
 
 # Documents learned from at most, of each label, by a hash of their id; and characters of these.
-LEARN_DOCS, LEARN_CHARS = 1_500, 5_000_000
+LEARN_DOCS, LEARN_CHARS = 1_500, 3_000_000
 THRESHOLD = 0.7
 WINDOW, STRIDE = 64, 48
 # Sizes: of hash tables, of each input, of the state of one direction, of attention.

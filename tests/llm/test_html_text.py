@@ -15,7 +15,7 @@ PAGES = "page_id LONG, url STRING, html STRING, text INT, Host INT"
 
 
 def texts(source):
-    return [b.text for b in html_text.blocks(source)]
+    return [b.text for b in html_text.blocks(source) if b.marked is None]
 
 
 def test_blocks():
@@ -40,26 +40,84 @@ def test_what_is_left_out():
     assert "menu" in everything and "z" in everything
 
 
+def within(path, top):
+    return path is not None and path != "" and (top == "" or path.startswith(top + ">"))
+
+
 def plain(urls_and_sources):
     """The same extraction with dictionaries instead of Spark."""
     cut = [(address(u)[0], html_text.blocks(s or "")) for u, s in urls_and_sources]
-    votes = {}
+    votes, found = {}, {}
     for host, page in cut:
         if page:
             votes.setdefault(host, Counter())[html_text.best_path(page)] += 1
+        for b in page:
+            found.setdefault((host, b.path), []).append(b.text)
     out = []
     for host, page in cut:
         tally = votes.get(host, Counter())
-        winner = max(tally, key=lambda p: (tally[p], -len(p), p), default=None)
-        found = []
-        for path in (winner, html_text.best_path(page)):
-            if path is not None and not found:
-                found = [b.text for b in page
-                         if not path or b.path == path or b.path.startswith(path + ">")]
-        out.append("\n\n".join(found))
+        winner = max(tally, key=lambda p: (tally[p], -len(p), p), default="")
+
+        def once(b):
+            same = found[host, b.path]
+            return not (within(b.path, winner) and len(same) >= 5 and len(same) > 2 * len(set(same)))
+
+        chosen = [b for b in page if b.path == winner or within(b.path, winner)]
+        if chosen:
+            chosen = [b for b in chosen if once(b) and not within(b.marked, winner)]
+        else:
+            own = html_text.best_path(page)
+            chosen = [b for b in page if (b.path == own or within(b.path, own)) and once(b)
+                      and b.marked is None]
+        out.append("\n\n".join(b.text for b in chosen))
     return out
 
 
+def neutral(number, article, aside="", words=80):
+    """A page whose tags and classes say nothing."""
+    rng = random.Random(number)
+    links = "".join(f"<a href=/{i}>section {i}</a> " for i in range(8))
+    text = "".join(f"<p>{' '.join(rng.choices(article, k=words))}</p>" for _ in range(3))
+    notice = "<div class=q><p>This site may store what you read, see our terms.</p></div>"
+    return (f"<html><body><div class=a>{links}</div><div class='b{number}'>{notice}{text}</div>"
+            f"<div class=c><p>{aside or 'All rights reserved by the owner of this site.'}</p></div>")
+
+
+ARTICLE = [f"word{i}" for i in range(200)]
+
+
+def test_boilerplate_without_a_name_is_cut_by_votes(spark):
+    """Menu, notice and footer are found by links and by what recurs on the host, not by names."""
+    rows = [(i, f"http://n.org/{i}", neutral(i, ARTICLE), 1, 2) for i in range(12)]
+    # Of this page the text below is longer than its article: alone, it would take that.
+    rows.append((12, "http://n.org/12", neutral(12, ARTICLE, "long aside " * 200, 3), 1, 2))
+    df = spark.createDataFrame(rows, PAGES)
+    for row in html_text.report(df).collect():
+        want = [p for p in re.findall("<p>(word.*?)</p>", rows[row.page_id][2])]
+        assert row.text == "\n\n".join(want)
+    alone = html_text.report(df.where("page_id = 12")).first().text
+    assert alone.startswith("long aside")
+    single = html_text.report(df.where("page_id = 3")).first().text
+    assert single.startswith("This site may store")
+
+
+def test_names_are_a_weak_feature(spark):
+    """An article in a container called widget is taken all the same; comments below it are not."""
+    page = ("<body><nav>a menu of some words</nav><div class='widget'><p>%s</p>"
+            "<div class='comments'><p>first! %d</p></div></div><footer>owner %d</footer>")
+    rows = [(i, f"http://w.org/{i}", page % ("text " * (60 + i), i, i), 1, 2) for i in range(4)]
+    found = html_text.report(spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted(r.text for r in found) == sorted(" ".join(["text"] * (60 + i)) for i in range(4))
+
+
+def test_deep_containers_are_told_apart():
+    source = "<div>" * 100 + "<div class=x>one</div><div class=y>two</div>"
+    a, b = html_text.blocks(source)
+    assert a.path != b.path and len(a.path) < 1000
+    deep = "".join(f"<div class=c{i}>t" for i in range(5000))
+    assert max(len(b.path) for b in html_text.blocks(deep)) < 1000
+
+
 def test_votes_of_a_host(spark):
     rng = random.Random(2)
     rows = []
