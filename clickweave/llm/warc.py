@@ -11,12 +11,14 @@ as WARC text files in parallel, split at the empty lines before each record.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.llm import html_text
-from clickweave.llm.common import map_rows
+from clickweave.llm.common import freeing, map_rows
 
 VERSION = "WARC/1.1"
 NEW_LINE = "\r\n"
@@ -128,24 +130,89 @@ def write_records(records: DataFrame, path: str, compression: str = "gzip") -> N
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """kind, headers and block of the records in WARC text files.
+    """kind, headers and block (text) of the records in WARC text files."""
+    found = read_warc(spark, path)
+    return found.withColumn("block", F.decode("block", "UTF-8"))
+
 
-    Blocks are UTF-8 text, and none holds the start of a record after an empty line.
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """kind, headers and block (bytes) of all records in WARC 1.x files, also compressed by record.
+
+    Files are cut where a record can begin; a record ends by its Content-Length, so a block that quotes
+    such a place is put together again. A task holds one record at a time. A record that its file cuts
+    short has what is there; one without a length ends where the next can begin. Uncompressed files
+    should not be larger than a task's share of the input, as a cut of the input may fall into a quote.
+    """
+    pieces = spark.read.option("lineSep", _BEGIN).text(path)
+    return pieces.select(F.col("value").cast("binary").alias("piece")).mapInArrow(
+        _whole_records, f"kind STRING, headers {HEADERS}, block BINARY")
+
+
+_BEGIN = NEW_LINE * 2 + "WARC/1."
+
+
+def _record(held: bytes, cut: bool) -> dict | None:
+    """The record that begins with the digit of its version; None if bytes of its block are missing."""
+    head, _, block = held.partition(b"\r\n\r\n")
+    fields = [line.partition(b":") for line in head.split(b"\r\n")[1:] if line.strip()]
+    headers = [{"name": n.decode(errors="replace").strip(), "value": v.decode(errors="replace").strip()}
+               for n, _, v in fields]
+    value = {h["name"].lower(): h["value"] for h in headers}
+    size = value.get("content-length", "")
+    if size.isdecimal():
+        if len(block) < int(size) and not cut:
+            return None
+        block = block[:int(size)]
+    return {"kind": value.get("warc-type"), "headers": headers, "block": block}
+
+
+@freeing
+def _whole_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    begin, file = _BEGIN.encode(), b"WARC/1."
+    schema = pa.schema([("kind", pa.string()), ("headers", pa.list_(pa.struct(
+        [("name", pa.string()), ("value", pa.string())]))), ("block", pa.binary())])
+    held = None
+    for batch in batches:
+        rows = []
+        for piece in batch.column("piece"):
+            data = piece.as_py()
+            if data.startswith(file):
+                # The start of a file; what is held was cut short by the end of the one before.
+                rows += [_record(held, True)] if held is not None else []
+                held = data[len(file):]
+            else:
+                held = data if held is None else held + begin + data
+            record = _record(held, False)
+            if record is not None:
+                rows.append(record)
+                held = None
+        yield pa.RecordBatch.from_pylist(rows, schema)
+    if held is not None and held.strip():
+        yield pa.RecordBatch.from_pylist([_record(held, True)], schema)
+
+
+def responses_in(records: DataFrame) -> DataFrame:
+    """Responses as `derive` takes them, of the `response` records of `read_warc`.
+
+    The block is cut at its first empty line into header lines and payload, which is read as UTF-8;
+    bytes that are none are replaced.
     """
-    parts = spark.read.option("lineSep", NEW_LINE * 2 + VERSION).text(path)
-    whole = F.regexp_replace("value", f"^{VERSION}", "")
-    cut = F.instr("whole", NEW_LINE * 2)
-    lines = F.filter(F.split(F.expr("substring(whole, 1, cut - 1)"), NEW_LINE), lambda x: x != "")
-    name = lambda x: F.substring_index(x, ": ", 1)
-    headers = F.transform(lines, lambda x: F.struct(
-        name(x).alias("name"),
-        F.substring(x, F.length(name(x)) + 3, F.length(x)).alias("value")))
-    # What follows the block, the end of the file's last record, is beyond its length.
-    block = F.expr("decode(substring(encode(substring(whole, cut + 4), 'UTF-8'), 1, length), 'UTF-8')")
-    return (parts.withColumn("whole", whole).withColumn("cut", cut)
-            .withColumn("headers", headers)
-            .withColumn("length", header("Content-Length").cast("int"))
-            .select(header("WARC-Type").alias("kind"), "headers", block.alias("block")))
+    def value(name: str) -> Column:
+        return F.get(F.filter("headers", lambda h: F.lower(h["name"]) == name), F.lit(0))["value"]
+
+    found = map_rows(
+        records.where("kind = 'response'").select(
+            value("warc-record-id").alias("record_id"), value("warc-target-uri").alias("target_uri"),
+            value("warc-date").alias("date"), "block"),
+        {"block": F.col("block")}, "http STRING, payload STRING", _http_parts,
+        ["record_id", "target_uri", "date"])
+    return found.select("record_id", "target_uri", "date", "http", "payload")
+
+
+def _http_parts(batch: pa.RecordBatch) -> list[pa.Array]:
+    cut = [(b.as_py() or b"").partition(b"\r\n\r\n") for b in batch.column("block")]
+    return [pa.array([(head + b"\r\n").decode(errors="replace") for head, _, _ in cut], pa.string()),
+            pa.array([body.decode(errors="replace") for _, _, body in cut], pa.string())]
 
 
 def report(pages: DataFrame) -> DataFrame:

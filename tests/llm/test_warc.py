@@ -78,3 +78,36 @@ def test_files(spark, tmp_path):
         length = int(re.search(rb"Content-Length: (\d+)", head)[1])
         assert head.startswith(b"WARC/1.1\r\n") and body[length:length + 4] == b"\r\n\r\n"
         at += len(head) + 4 + length + 4
+
+
+def raw(kind, number, block, name="Content-Length"):
+    return (f"WARC/1.{number % 2}\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:{number}>\r\n"
+            f"WARC-Target-URI: http://h/{number}\r\n{name}: {len(block)}\r\n\r\n").encode() + block \
+        + b"\r\n\r\n"
+
+
+def test_responses_of_a_file_compressed_by_record(spark, tmp_path):
+    """Payloads that quote records, bytes that are no text, and a file that ends too early."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    quote = raw("response", 9, b"quoted") * 2
+    blocks = [http + b"<p>one", http + b"<p>a" + quote + b"<p>b", b"", http + b"\xff<p>\xc3\xa9",
+              http + quote]
+    records = [raw("warcinfo", 100, b"software: x")] + [
+        raw("response", i, b, "content-length" if i == 3 else "Content-Length")
+        for i, b in enumerate(blocks)] + [raw("request", 101, b"GET /")]
+    with open(tmp_path / "a.warc.gz", "wb") as file:
+        for record in records:
+            file.write(gzip.compress(record))
+    with open(tmp_path / "b.warc.gz", "wb") as file:
+        file.write(gzip.compress(records[1] + records[2][:-40]))
+    found = warc.read_warc(spark, str(tmp_path / "a.warc.gz")).collect()
+    assert [bytes(r.block) for r in found] == [b"software: x", *blocks, b"GET /"]
+    both = warc.read_warc(spark, str(tmp_path))
+    assert both.count() == len(records) + 2
+    responses = warc.responses_in(both)
+    rows = {r.payload: r for r in responses.collect()}
+    assert rows["<p>one"].http.startswith("HTTP/1.1 200 OK\r\n")
+    assert rows["\ufffd<p>é"].target_uri == "http://h/3"
+    assert rows[(b"<p>a" + quote + b"<p>b").decode()].record_id == "<urn:1>"
+    derived = [r for r in warc.derive(responses, ["record_id"]).collect() if r.kind == "conversion"]
+    assert len(derived) == 7 and {r.block for r in derived if r.record_id == "<urn:0>"} == {"one"}
