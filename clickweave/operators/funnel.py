@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Minutes of a session that one task orders.
-SLICE_MINUTES = 10
+# Minutes of a session that one task orders, unless it has more rows then.
+SLICE_MINUTES, SLICE_ROWS = 10, 1_000_000
 
 
 def tie_breaker(actions: DataFrame) -> str:
@@ -16,20 +16,35 @@ def tie_breaker(actions: DataFrame) -> str:
     return "event_id" if "event_id" in actions.columns else "page_id"
 
 
-def page_transitions(actions: DataFrame, slice_minutes: int = SLICE_MINUTES) -> DataFrame:
+def in_slices(actions: DataFrame, slice_minutes: int = SLICE_MINUTES,
+              slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The rows with `slice`, the number of their slice of the calendar.
+
+    How long slices are is a scalar of the log, counted before it is shuffled.
+    """
+    whole = slice_minutes * 60_000_000
+    # Of the zone-free time: a change of clocks does not touch it.
+    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
+                              F.col("action_time").cast("timestamp_ntz"))
+    fullest = (actions.groupBy("session_id", F.floor(micros / whole)).agg(F.count("*").alias("n"))
+               .agg(F.max("n")).scalar())
+    width = F.greatest(F.lit(1), F.least(F.lit(whole), F.floor(
+        F.lit(float(whole)) * slice_rows / fullest)))
+    return actions.withColumn("slice", F.floor(micros / width))
+
+
+def page_transitions(actions: DataFrame, slice_minutes: int = SLICE_MINUTES,
+                     slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Each action's page and the next page of its session, null at the session's end.
 
     Every session is ordered slice by slice of its wall-clock time, so that no task orders a whole
-    one. The last row of a slice is followed by the first of the session's next slice: these ends
+    one. Slices are as much shorter than `slice_minutes` as the fullest of these needs to hold about
+    `slice_rows`. The last row of a slice is followed by the first of the session's next slice: these ends
     are found by an aggregate merged on the map side, and a session has at most one pair of them for
     each slice of the calendar. Rows without a session id are taken as one session.
     """
     ordering = list(dict.fromkeys(["action_time", tie_breaker(actions), "page_id"]))
-    # Of the zone-free time: a change of clocks does not touch it.
-    minute = F.timestamp_diff("MINUTE", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
-                              F.col("action_time").cast("timestamp_ntz"))
-    rows = actions.select("session_id", *ordering).withColumn(
-        "slice", F.floor(minute / slice_minutes))
+    rows = in_slices(actions.select("session_id", *ordering), slice_minutes, slice_rows)
     in_slice = Window.partitionBy("session_id", "slice").orderBy(*ordering)
     in_session = Window.partitionBy("session_id").orderBy("slice")
     result = ["session_id", "page_id", "next_page_id"]

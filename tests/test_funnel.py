@@ -49,8 +49,11 @@ def test_transitions_are_those_of_whole_sessions(spark, visits, minutes, zone):
 
 
 def test_transitions_gather_nothing_in_one_task(spark):
+    """But for the count of the fullest slice, of which each task sends the greatest it has."""
     plan = funnel.page_transitions(actions(spark, action(1, "s"))).select("page_id")
-    assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
+    lines = plan._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = [after for line, after in zip(lines, lines[1:]) if "SinglePartition" in line]
+    assert all("HashAggregate(keys=[], functions=[partial_max(" in line for line in below)
 
 
 def test_a_session_holding_most_of_the_log(spark):
@@ -62,6 +65,21 @@ def test_a_session_holding_most_of_the_log(spark):
     assert found_pages(transitions) == next_pages(rows)
 
 
+def test_a_third_of_the_log_in_one_slice(spark):
+    """Rows without a session, all within ten minutes: no slice holds more than its share of them."""
+    rows = [action(i, None if i % 3 == 0 else f"s{i % 50}", i % 600 if i % 3 == 0 else i * 61,
+                   page_id=i % 7) for i in range(3000)]
+    log = actions(spark, *rows)
+    sizes = [r["count"] for r in funnel.in_slices(log, slice_rows=100).groupBy(
+        "session_id", "slice").count().collect()]
+    assert max(sizes) <= 110 and sum(sizes) == 3000
+    assert found_pages(funnel.page_transitions(log, slice_rows=100)) == next_pages(rows)
+    # Without such a slice they are ten minutes long.
+    calm = funnel.in_slices(actions(spark, *rows[1:40]))
+    assert {r["slice"] for r in calm.collect()} == {r["slice"] for r in funnel.in_slices(
+        actions(spark, *rows[1:40]), slice_rows=10**9).collect()}
+
+
 def test_equal_times_go_by_event_or_by_page(spark):
     log = actions(spark, action(2, "a", 5, page_id=1), action(1, "a", 5, page_id=2))
     assert tuples(funnel.page_transitions(log).where("next_page_id is not null")) == [("a", 2, 1)]
