@@ -67,6 +67,9 @@ BATCH_BYTES = 1 << 23
 # stand in: so neither an id nor a text that a third of all rows have goes to one task. `copy` tells
 # the texts apart that share both, and has so many bits.
 SLOT_BITS, PART_BITS, COPY_BITS = 20, 16, 24
+# Ids up to which those of several rows are sent to all tasks; other rows then have slot 0, which takes
+# no room in what is dealt. With more of them every row has its slot.
+BROADCAST_IDS = 1_000_000
 
 # `tag`: slot, part, copy and kind. `place`: windows and anchor of a row, see _pack; of a covered one
 # the first window, `c` then being the last.
@@ -326,8 +329,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     text_hash = F.shiftrightunsigned(F.xxhash64(F.coalesce(docs["text"], F.lit(""))), 64 - SLOT_BITS)
     part = F.spark_partition_id().cast("long").bitwiseAND(F.lit((1 << PART_BITS) - 1))
     slot = F.shiftleft(text_hash, PART_BITS).bitwiseOR(part)
-    rows = docs.select(id_key(docs["doc_id"]).alias("doc"), slot.alias("slot"),
-                       whole_row(docs)).repartition("doc", "slot")
+    rows = docs.select(id_key(docs["doc_id"]).alias("doc"), slot.alias("slot"), whole_row(docs))
+    repeated = (docs.select(id_key(docs["doc_id"]).alias("doc")).groupBy("doc")
+                .agg(F.count("*").alias("n")).where("n > 1").select("doc", F.lit(True).alias("many")))
+    if repeated.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        rows = rows.join(F.broadcast(repeated), "doc", "left").select(
+            "doc", F.when(F.col("many"), F.col("slot")).otherwise(0).alias("slot"), "row")
+    rows = rows.repartition("doc", "slot")
     # The columns are the same wherever the texts are read, so they are shuffled only once.
     copies = Window.partitionBy("doc", "slot").orderBy(F.col("row.text"))
     number = F.row_number().over(copies).cast("long") - 1

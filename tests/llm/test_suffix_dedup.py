@@ -6,6 +6,7 @@ import hashlib
 import random
 import time
 
+import pytest
 import xxhash
 
 from clickweave.llm import suffix_dedup
@@ -93,7 +94,9 @@ def test_passage_repeated_in_one_document_over_slices(spark, monkeypatch):
         check(spark, rows)
 
 
-def test_many_texts_of_one_id(spark):
+@pytest.mark.parametrize("ids", [suffix_dedup.BROADCAST_IDS, 0])
+def test_many_texts_of_one_id(spark, monkeypatch, ids):
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_IDS", ids)
     rng = random.Random(13)
     pool = [f"w{i}" for i in range(300)]
     passages = [words(rng, 40, pool) for _ in range(4)]
