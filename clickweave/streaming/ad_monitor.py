@@ -28,6 +28,7 @@ listed.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timedelta
@@ -237,21 +238,25 @@ class AdMonitor:
         So each is written beside and moved in whole.
         """
         done = f"{self.path('staged')}/{batch_id}"
-        clicks = None
-        for name, (time, keys) in INBOXES.items():
+        clicks = self.table("clean").written(batch_id)
+
+        def send(name: str) -> None:
+            time, keys = INBOXES[name]
             staged, marker = f"{done}/{name}", f"{done}/{name}-sent"
-            if files.exists(self.spark, marker):
-                continue
             target = f"{self._inbox(name)}/batch_id={batch_id}"
+            if files.exists(self.spark, marker):
+                return
             if not files.exists(self.spark, target):
-                if clicks is None:
-                    clicks = self.table("clean").written(batch_id)
                 own = clicks.where(F.col("reason").isNull()) if time == "minute" else clicks
                 partial = (own.groupBy(F.date_trunc(time, "ts").alias(time), *keys)
                            .agg(F.count("*").alias("clicks")))
                 partial.write.mode("overwrite").parquet(staged)
                 files.move(self.spark, staged, target)
             files.write_text(self.spark, marker, "")
+
+        # Small jobs of their own: side by side they take as long as one.
+        with ThreadPoolExecutor(len(INBOXES)) as pool:
+            list(pool.map(send, INBOXES))
         for name in files.names(self.spark, self.path("staged")):
             if int(name) < batch_id:
                 files.delete(self.spark, f"{self.path('staged')}/{name}")
