@@ -9,6 +9,8 @@ import numpy as np
 import pytest
 
 from clickweave.llm import lexical_search as search
+from clickweave.llm.common import table
+from tests.compare import connect, differences
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -108,3 +110,8 @@ def test_empty_tables(spark):
     assert search.report(docs, items).collect() == []
     assert search.report(frame(spark, [(1, "a")], docs.schema), items.limit(0)).collect() == []
     assert search.report(frame(spark, [(1, None)], docs.schema), items).collect() == []
+
+
+def test_against_sql(spark, sf_dir):
+    found = search.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    assert differences(found, connect(sf_dir), search.ORACLE_SQL) == []
