@@ -193,10 +193,11 @@ def shuffle_to_shards(docs: DataFrame, by: list[str], shards: int = SHARDS,
         heavy, "key", "left").select("row", "key", F.pmod(piece, _long(parts)).alias("part"))
     matrix = communication_matrix(dealt.groupBy("part").agg(F.count("*").alias("n")),
                                   parts, shards, seed)
-    # Equal rows are numbered, so that each has a random place of its own.
+    # Equal rows are numbered, so that each has a random place of its own. Dealt by the part before:
+    # by part and key they would be shuffled once more.
     equal = F.row_number().over(Window.partitionBy("part", "key").orderBy("key"))
     order = Window.partitionBy("part").orderBy("random", "key", "equal")
-    ordered = (dealt.withColumn("equal", equal)
+    ordered = (dealt.repartition("part").withColumn("equal", equal)
                .withColumn("random", F.xxhash64(F.lit(seed), F.lit("order"), "part", "key", "equal"))
                .withColumn("at", F.row_number().over(order).cast("long") - 1))
     # The shard whose share of the partition's order holds this row, and the place in that share.
