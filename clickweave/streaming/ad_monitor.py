@@ -13,7 +13,7 @@ into queries that meet in tables:
     inbox -> ad_click_trend               per minute and ad; of them the last hour -> ad_recent_hour
 
 The filter counts each batch for every query before it hands it on, so a user with very many clicks is
-one row per task. Counts live in the state store; a batch costs what it brings, not what the day has
+one row. Counts live in the state store; a batch costs what it brings, not what the day has
 gathered. Every query has its checkpoint, and every table is published batch by batch through its
 manifest, so a restart goes on where it stopped and a replayed batch changes nothing. The queries merge
 the tables they write, and a day's rows become one run when the day is closed. An inbox is emptied by
@@ -43,7 +43,7 @@ from clickweave.functions.dates import day_key
 from clickweave.operators import ads
 from clickweave.sources import batch_table, files
 from clickweave.sources.batch_table import BatchTable
-from clickweave.streaming.user_state import user_counts
+from clickweave.streaming import user_state
 
 CLICK_SCHEMA = "ts TIMESTAMP, province STRING, city STRING, user_id BIGINT, ad_id BIGINT"
 # The reason says why a click is not counted in full, null if it is.
@@ -166,7 +166,8 @@ class AdMonitor:
 
     def start_user_clicks(self, trigger: dict = LIVE) -> StreamingQuery:
         """Count clicks per day, user and ad, and list users above the threshold."""
-        counts = user_counts(self._inbox_stream("user_clicks"), self.threshold, self.day_late_by)
+        counts = user_state.user_counts(self._inbox_stream("user_clicks"), self.threshold,
+                                        self.day_late_by)
         return self._start("user_clicks", counts, self._write_user_clicks, trigger)
 
     def start_ad_stat(self, trigger: dict = LIVE) -> StreamingQuery:
@@ -250,6 +251,8 @@ class AdMonitor:
                 own = clicks.where(F.col("reason").isNull()) if time == "minute" else clicks
                 partial = (own.groupBy(F.date_trunc(time, "ts").alias(time), *keys)
                            .agg(F.count("*").alias("clicks")))
+                if name == "user_clicks":
+                    partial = user_state.per_user(partial)
                 partial.write.mode("overwrite").parquet(staged)
                 files.move(self.spark, staged, target)
             files.write_text(self.spark, marker, "")
@@ -339,7 +342,7 @@ class AdMonitor:
 
     def _inbox_stream(self, name: str) -> DataFrame:
         """What the filter hands to a query; files that a batch has taken are deleted after it."""
-        return (self.spark.readStream.schema(f"{_inbox_schema(*INBOXES[name])}, batch_id BIGINT")
+        return (self.spark.readStream.schema(f"{_inbox_schema(name)}, batch_id BIGINT")
                 .option("cleanSource", "delete").parquet(self._inbox(name)).drop("batch_id"))
 
     def _start(self, name: str, rows: DataFrame, write_batch: Callable[[DataFrame, int], None],
@@ -363,7 +366,10 @@ def _micros(spark: SparkSession, interval: str) -> int:
     return spark.sql(f"SELECT unix_micros({end})").first()[0]
 
 
-def _inbox_schema(time: str, keys: list[str]) -> str:
+def _inbox_schema(name: str) -> str:
+    if name == "user_clicks":
+        return user_state.INPUT
+    time, keys = INBOXES[name]
     return ", ".join([f"{time} TIMESTAMP", *(f"{k} {_TYPES[k]}" for k in keys), "clicks BIGINT"])
 
 

@@ -265,6 +265,34 @@ def test_days_of_a_user_expire_and_the_mark_stays(spark, root):
         ("20240110", 1, 3), ("20240110", 2, 1), ("20240110", 2, 1)]
 
 
+def test_a_user_is_one_row_and_one_timer(spark, root):
+    """However many days and ads: each costs a call to the state store or a row in Python."""
+    arrive(spark, root, *[line(1, ad, day * 24 * 60) for day in range(4) for ad in (5, 5, 6)])
+    monitor = run(spark, root, "filter", day_late_by="10 days", threshold=1)
+    query = monitor.start_user_clicks(CATCH_UP)
+    query.awaitTermination()
+    first = next(p for p in query.recentProgress if p["numInputRows"])
+    assert first["numInputRows"] == 1
+    assert first["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] == 1
+    assert tuples(monitor.blacklist()) == [(1,)]
+    assert tuples(monitor.user_clicks(), "date", "user_id", "ad_id", "click_count") == [
+        (f"202401{10 + day}", 1, ad, n) for day in range(4) for ad, n in ((5, 2), (6, 1))]
+
+
+def test_one_timer_after_the_other_drops_the_days_of_a_user(spark, root):
+    """Also where an earlier day comes after a later one."""
+    queries = "filter", "user_clicks"
+    for user, days in ((1, (2, 3)), (1, (1,)), (2, (4,)), (2, (5,)), (2, (5,))):
+        arrive(spark, root, *[line(user, 5, day * 24 * 60) for day in days])
+        monitor = run(spark, root, *queries, day_late_by="49 hours")
+    state = (spark.read.format("statestore").option("stateVarName", "user")
+             .load(f"{root}/checkpoints/user_clicks"))
+    assert sorted((r.key.user_id, len(r.value.days)) for r in state.collect()) == [(1, 1), (2, 2)]
+    assert tuples(monitor.user_clicks(), "date", "user_id", "click_count") == [
+        ("20240111", 1, 1), ("20240112", 1, 1), ("20240113", 1, 1), ("20240114", 2, 1),
+        ("20240115", 2, 2)]
+
+
 def test_the_last_hour_moves_on(spark, root):
     queries = "filter", "click_trend"
     arrive(spark, root, line(1, 5), line(1, 5, 30), line(1, 6, 30))
