@@ -58,8 +58,9 @@ DIGIT, SURROUNDINGS = Hashes(101), Hashes(202)
 # What is known of a row before it is dealt.
 PLAIN, COVERED, SHARED, SHARED_ELSEWHERE = 0, 1, 2, 3
 
-# Rows whose surroundings are cut out at a time: a few dozen hashes are held for each byte of them.
-ROWS = 1 << 10
+# Open rows after which a batch is decided upon, and blocks of them whose surroundings are cut out at a
+# time: a few dozen hashes are held for each byte of these.
+ROWS, BLOCKS = 1 << 10, 1 << 10
 # Bytes of text after which a batch is decided upon.
 BATCH_BYTES = 1 << 23
 
@@ -214,6 +215,12 @@ def _next_pass(length: int, block: int) -> Callable[[Iterator[pa.RecordBatch]],
         nearest = number * block
         last = at - np.maximum(nearest, at - high[row])
         first = at - np.minimum(nearest + block - 1, at - low[row])
+        found = [_digits(data, starts, *(x[i:i + BLOCKS] for x in (text, at, nearest, first, last)))
+                 for i in range(0, len(text), BLOCKS)]
+        k, c = (np.concatenate(x) for x in zip(*found, strict=True))
+        return _decide(k, c, doc[text], copy[text], at, first, last)
+
+    def _digits(data, starts, text, at, nearest, first, last) -> tuple[np.ndarray, np.ndarray]:
         # Bytes about the anchor, zeros beyond the text; then hashes of windows within them.
         reach = np.arange(-width, length)
         place = (starts[text] + at)[:, None] + reach
@@ -226,7 +233,7 @@ def _next_pass(length: int, block: int) -> Callable[[Iterator[pa.RecordBatch]],
         k = _surroundings(digits[i, at - nearest - origin], nearest.astype(U64))
         c = _surroundings(wholes[i, first - origin], wholes[i, last - origin], last - first,
                           at - first)
-        return _decide(k, c, doc[text], copy[text], at, first, last)
+        return k, c
 
     return run
 

@@ -5,7 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import time
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -128,3 +131,22 @@ def test_empty_table_and_clashing_names(spark):
     row = suffix_dedup.remove_repeats(df).first()
     assert (row.doc_id, row.text, row.doc, bytes(row.kept), row.spans) == (1, "t", 3, b"t", [])
     assert suffix_dedup.without_repeats(df).columns == df.columns
+
+
+def test_surroundings_are_cut_out_a_few_at_a_time():
+    """A thousand open rows of 60 windows, as repeated text has them: hashes of all at once take 100 MB."""
+    n = 1024
+    low = np.arange(n, dtype=np.int64) * 60
+    place = suffix_dedup._pack(low + 59, low, low + 59)
+    text = "".join(chr(97 + i % 23) for i in range(60 * n + 200))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([0]), pa.array([{"text": text}]),
+         pa.array([[{"place": int(x)} for x in place]])], ["doc", "copy", "row", "open"])
+    tracemalloc.start()
+    try:
+        found = list(suffix_dedup._next_pass(100, 8)(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.num_rows for b in found) > 0
+    assert peak < 50e6, peak
